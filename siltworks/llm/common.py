@@ -34,7 +34,7 @@ def batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[s
 
 
 _OPEN = re.compile(r"\s*(?:/\*+!?|<!--|\(\*|\"\"\"|''')")
-_LINE = re.compile(r"\s*(?://+!?|#+!?|--+|;+|%+|\*+(?!/)|'(?!''))\s?(.*)", re.S)
+_LINE = re.compile(r"\s*(?://+!?|#+!?(?!\s*(?:include|define|undef|if|ifdef|ifndef|elif|else|endif|pragma|error|region)\b|\[)|--+|;+|%+|\*+(?!/)|'(?!''))\s?(.*)", re.S)
 _SKIP = re.compile(r"\s*(?:#!.*|<\?(?:php|xml)\b.*|<!DOCTYPE.*|set -\w+|'use strict';?|\"use strict\";?)?\s*$", re.I)
 
 
