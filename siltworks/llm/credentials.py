@@ -78,6 +78,7 @@ _BEARER = re.compile(r"(?i)\bbearer\s+([A-Za-z0-9_\-.+/=]{16,})")
 _SAID = re.compile(
     r"(?i)\b(?:pass(?:word|wd|phrase|wort)?|pwd|pw|mot de passe|contraseña|senha|hasło|wachtwoord|пароль|secret|token|api key)\b(?:\s+(?:for|of|to|für|pour)\s+\S+)?\s*(?:\s(?:was|is|are|war|ist|est|était|es|era|é|to|jest|был|=)|:|=)\s*[\"'`]?([^\s\"'`,;]{6,})"
 )
+_SAID_BARE = re.compile(r"(?i)\b(?:pass(?:word|wd|phrase|wort)?|pwd|pw|contraseña|senha|hasło|wachtwoord|пароль)\s+([^\s\"'`,;()_]{8,})")
 _LOGIN = re.compile(r"(?i)\b(?:log ?in|credentials?|account|creds|user)\b\s*[:=]?\s*[\w.@\-]+\s*[/|]\s*([^\s,;\"'/]{6,})")
 
 _PLACEHOLDER = re.compile(
@@ -177,10 +178,10 @@ def line_hits(line: str) -> Iterator[Hit]:
         args = list(_STRING.finditer(m[1]))
         if args and len(args) >= (1 if "pass" in m[0].lower() else 2) and _strong_password(args[-1][2]) and " " not in args[-1][2]:
             yield Hit(m.start(1) + args[-1].start(2), m.start(1) + args[-1].end(2), "call")
-    for pattern, group, kind in ((_CURL, 2, "curl_login"), (_BEARER, 1, "bearer"), (_SAID, 1, "said"), (_LOGIN, 1, "said")):
+    for pattern, group, kind in ((_CURL, 2, "curl_login"), (_BEARER, 1, "bearer"), (_SAID, 1, "said"), (_SAID_BARE, 1, "said"), (_LOGIN, 1, "said")):
         for m in pattern.finditer(line):
             v = m[group].rstrip(".)]") if kind == "said" and not m[group][-1:].isalnum() and len(m[group]) > 8 and m[group][-2:-1].isalnum() and m[group][-1] in ").]" else m[group]
-            if (_strong_key if kind == "bearer" else _strong_password)(v):
+            if (_strong_key if kind == "bearer" else _strong_password)(v) and (pattern is not _SAID_BARE or any(c.isdigit() for c in v) and any(c.isalpha() for c in v)):
                 yield Hit(m.start(group), m.start(group) + len(v), kind)
 
 
