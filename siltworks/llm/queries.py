@@ -15,6 +15,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(spread(table(spark, sf_dir, "issues")))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import history
+
+    return history.found(table(spark, sf_dir, "incoming_records"), table(spark, sf_dir, "exact_hashes"), table(spark, sf_dir, "minhash_sigs"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltworks.llm import licenses
 
@@ -39,6 +45,42 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.found(spread(table(spark, sf_dir, "raw_content")))
 
 
+def p7_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import tokens
+
+    return tokens.slices(spread(table(spark, sf_dir, "documents")), spread(table(spark, sf_dir, "raw_content")), table(spark, sf_dir, "shards"))
+
+
+def p7_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import tokens
+
+    return tokens.budget(spread(table(spark, sf_dir, "documents")), spread(table(spark, sf_dir, "raw_content")), table(spark, sf_dir, "shards"))
+
+
+def p7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import tokens
+
+    return tokens.by_shard(spread(table(spark, sf_dir, "raw_content")), table(spark, sf_dir, "shards"))
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import tokens
+
+    return tokens.ids(spread(table(spark, sf_dir, "documents")))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import mixing
+
+    return mixing.mixture(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "source_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltworks.llm import mixing
+
+    return mixing.shares(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "source_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltworks.llm import language
 
@@ -46,7 +88,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p6_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
