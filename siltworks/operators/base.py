@@ -17,10 +17,29 @@ class StageResult:
     excluded: DataFrame | None = None
 
 
+def mark(df: DataFrame, reason: Column, detail: Column | None = None) -> DataFrame:
+    """df with _reason and _detail; a row that an earlier stage marked keeps its mark.
+
+    Stages can so be chained in one pass, and rows are told apart once at the end.
+    """
+    detail = F.lit("") if detail is None else detail
+    if "_reason" in df.columns:
+        reason, detail = F.coalesce("_reason", reason), F.when(F.col("_reason").isNotNull(), F.col("_detail")).otherwise(detail)
+    return df.withColumns({"_reason": reason, "_detail": detail})
+
+
+def finish(df: DataFrame) -> StageResult:
+    """Rows without a mark are kept; the others become audit rows.
+
+    The filter also looks at a number that isn't deterministic: otherwise Catalyst would push it
+    below the projections and evaluate all their patterns a second time in the filter.
+    """
+    df = df.withColumn("_n", F.monotonically_increasing_id())
+    return StageResult(df.where("_reason is null and _n >= 0").drop("_reason", "_detail", "_n"), audit(df.where("_reason is not null and _n >= 0"), F.col("_reason"), F.col("_detail")))
+
+
 def split(df: DataFrame, reason: Column, detail: Column | None = None) -> StageResult:
-    """Rows without a reason are kept; the others become audit rows. The reason is computed once for each row."""
-    marked = df.withColumn("_reason", reason).withColumn("_detail", F.lit("") if detail is None else detail)
-    return StageResult(marked.where("_reason is null").drop("_reason", "_detail"), audit(marked.where("_reason is not null"), F.col("_reason"), F.col("_detail")))
+    return finish(mark(df, reason, detail))
 
 
 def union(parts: list[DataFrame]) -> DataFrame:

@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 _LIST = T.ArrayType(T.StringType())
 
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "float": T.FloatType(), "boolean": T.BooleanType(), "array<string>": _LIST}
+
+
 def _struct(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (part.split() for part in text.split(", "))])
 
 
 RECORD = _struct(
