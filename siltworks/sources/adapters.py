@@ -129,7 +129,7 @@ def blobs(metadata: DataFrame, contents: DataFrame, source: str, shard: str | Co
     return stack(df, source, shard)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode(raw, encoding):
     """The declared encoding, then UTF-8, then with replacements; null if more than 5 % are replacements."""
     out = []
