@@ -77,12 +77,22 @@ def _verify(parts: Iterable[pa.RecordBatch]):
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in part.columns[:2]], names=["a", "b"])
 
 
-def near(new: DataFrame, accepted: DataFrame, new_table: DataFrame, table: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different signature classes, a of new, b of accepted, within RADIUS."""
-    left = new_table.select(F.col("sid").alias("a"), "key")
-    right = table.select(F.col("sid").alias("b"), "key")
-    pairs = left.join(right, "key").where("a <> b").select("a", "b").distinct()
-    pairs = pairs.join(new.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(accepted.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
+#: Buckets that candidates' signatures are looked up by; a broadcast of at most so many numbers.
+LOOKUP = 1 << 20
+
+
+def near(new_table: DataFrame, table: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different signature classes, a of new_table, b of table, within RADIUS.
+
+    sigs (sid, sig) holds the signatures of both. Only signatures whose bucket some candidate has
+    are shuffled for the verification; the buckets are a bounded set, however many candidates
+    there are.
+    """
+    pairs = new_table.select(F.col("sid").alias("a"), "key").join(table.select(F.col("sid").alias("b"), "key"), "key").where("a <> b").select("a", "b").distinct().checkpoint()
+    bucket = lambda c: F.pmod(F.col(c), F.lit(LOOKUP)).cast("int").alias("bucket")
+    wanted = pairs.select(bucket("a")).union(pairs.select(bucket("b"))).distinct()
+    sigs = sigs.join(F.broadcast(wanted), F.pmod(F.col("sid"), F.lit(LOOKUP)).cast("int") == F.col("bucket"), "left_semi")
+    pairs = pairs.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
     return pairs.select("a", "b", "sa", "sb").mapInArrow(_verify, "a bigint, b bigint")
 
 
@@ -90,11 +100,12 @@ def _sid(sig: Column) -> Column:
     return F.when(F.length(sig) == 4 * POSITIONS, F.xxhash64(sig))
 
 
-def _history(hashes: DataFrame, sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, sha) of canonical records and (id, sid, sig) of those with a whole signature."""
+def _history(hashes: DataFrame, sigs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, sha) of canonical records, (id, sid) of those with a whole signature, and (sid, sig) of whole signatures."""
     canon = hashes.select(F.col("canonical_record_id").alias("id"), F.lower("content_sha256").alias("sha")).where("id is not null")
-    whole = sigs.select(F.col("record_id").alias("id"), "sig").where(F.length("sig") == 4 * POSITIONS).withColumn("sid", _sid(F.col("sig")))
-    return canon, whole.dropDuplicates(["id", "sid"]).join(canon.select("id"), "id", "left_semi")
+    whole = sigs.where(F.length("sig") == 4 * POSITIONS)
+    members = whole.select(F.col("record_id").alias("id"), _sid(F.col("sig")).alias("sid")).distinct().join(canon.select("id"), "id", "left_semi")
+    return canon, members, whole.select(_sid(F.col("sig")).alias("sid"), "sig")
 
 
 def _incoming(records: DataFrame) -> DataFrame:
@@ -129,11 +140,11 @@ def _decide(rows: DataFrame, listens: DataFrame) -> DataFrame:
 def duplicates(records: DataFrame, hashes: DataFrame, sigs: DataFrame) -> DataFrame:
     """id and accepted (id of the record it repeats) of every duplicate among incoming records."""
     ensure_checkpoint_dir(records.sparkSession)
-    canon, whole = _history(hashes, sigs)
+    canon, members, whole = _history(hashes, sigs)
     rows = _incoming(records)
-    classes = rows.where("sid is not null").groupBy("sid").agg(F.first("sig").alias("sig"))
-    every = classes.unionByName(whole.select("sid", "sig")).groupBy("sid").agg(F.first("sig").alias("sig"))
-    pairs = near(classes, every, pivot_table(classes), pivot_table(every)).checkpoint()
+    classes = rows.where("sid is not null").select("sid", "sig", F.lit(True).alias("new")).unionByName(whole.withColumn("new", F.lit(False)))
+    classes = classes.groupBy("sid").agg(F.first("sig").alias("sig"), F.max("new").alias("new")).checkpoint()  # the only copy of signatures
+    pairs = near(pivot_table(classes.where("new")), pivot_table(classes), classes).checkpoint()
     rows = rows.drop("sig").dropDuplicates(["ord", "sha", "sid"]).checkpoint()
     # what a row listens to: its hash, its own class and the classes near it
     listens = rows.select("id", "ord", F.concat(F.lit("h"), "sha").alias("key")).where("key is not null")
@@ -141,7 +152,7 @@ def duplicates(records: DataFrame, hashes: DataFrame, sigs: DataFrame) -> DataFr
     listens = listens.unionByName(mine.select("id", "ord", F.concat(F.lit("s"), F.col("sid").cast("string")).alias("key")))
     listens = listens.unionByName(mine.join(pairs, mine.sid == pairs.a).select("id", "ord", F.concat(F.lit("s"), F.col("b").cast("string")).alias("key"))).checkpoint()
     past = canon.select(F.col("id").alias("accepted"), F.concat(F.lit("h"), "sha").alias("key")).where("key is not null")
-    past = past.unionByName(whole.select(F.col("id").alias("accepted"), F.concat(F.lit("s"), F.col("sid").cast("string")).alias("key")))
+    past = past.unionByName(members.select(F.col("id").alias("accepted"), F.concat(F.lit("s"), F.col("sid").cast("string")).alias("key")))
     known = listens.join(past, "key").where("accepted <> id").select("id", "ord", "accepted").checkpoint()
     fresh = rows.join(known.select("ord"), "ord", "left_anti")
     accepted = _decide(fresh, listens)
@@ -184,8 +195,9 @@ class PivotIndex:
 
     def build(self, hashes: DataFrame, sigs: DataFrame) -> None:
         """History as batch -1."""
-        canon, whole = _history(hashes, sigs)
-        self._add(canon.join(whole, "id", "left"), -1)
+        canon, members, whole = _history(hashes, sigs)
+        whole = whole.groupBy("sid").agg(F.first("sig").alias("sig"))
+        self._add(canon.join(members, "id", "left").join(whole, "sid", "left"), -1)
 
     def check(self, records: DataFrame, batch: int) -> DataFrame:
         """Duplicates (id, accepted) of one batch; the records that aren't are appended."""
@@ -196,7 +208,7 @@ class PivotIndex:
         old = self._read("classes", batch).groupBy("sid").agg(F.first("sig").alias("sig"))
         every = old.select("sid", "sig").unionByName(classes).groupBy("sid").agg(F.first("sig").alias("sig"))
         pivots = self._read("pivots", batch).select("sid", "key").unionByName(table).distinct()
-        pairs = near(classes, every, table, pivots).checkpoint()
+        pairs = near(table, pivots, every).checkpoint()
         key = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
         rows = rows.dropDuplicates(["ord", "sha", "sid"]).checkpoint()
         mine = rows.where("sid is not null").select("id", "ord", "sid")
