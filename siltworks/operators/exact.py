@@ -10,16 +10,16 @@ from siltworks.operators.base import StageResult
 from siltworks.schema import audit
 
 #: Order of processing; a table of shards gives priority and seq_index, otherwise the shard's name decides.
-ORDER = ("priority", "seq_index", "source_shard", "id")
+ORDER = ("_priority", "_seq", "source_shard", "id")
 
 
 def ordered(records: DataFrame, shards: DataFrame | None = None) -> DataFrame:
-    """Records with priority and seq_index of their shard (last where unknown)."""
+    """Records with _priority and _seq of their shard (last where unknown)."""
     if shards is None:
-        return records.withColumn("priority", F.lit(0)).withColumn("seq_index", F.lit(0).cast("bigint"))
+        return records.withColumn("_priority", F.lit(0)).withColumn("_seq", F.lit(0).cast("bigint"))
     s = shards.select(F.col("shard_id").alias("_s"), F.col("priority").alias("_p"), F.col("seq_index").alias("_q")).dropDuplicates(["_s"])
     df = records.join(s, records.source_shard == s["_s"], "left")
-    return df.withColumn("priority", F.coalesce("_p", F.lit(2**31 - 1))).withColumn("seq_index", F.coalesce("_q", F.lit(2**63 - 1))).drop("_s", "_p", "_q")
+    return df.withColumn("_priority", F.coalesce("_p", F.lit(2**31 - 1))).withColumn("_seq", F.coalesce("_q", F.lit(2**63 - 1))).drop("_s", "_p", "_q")
 
 
 def _first(key: list[Column | str], order: list[str]) -> W:
@@ -31,7 +31,7 @@ def exact_dedup(records: DataFrame, shards: DataFrame | None = None, index: Data
 
     A copy of an earlier record of its own shard is exact_duplicate_intra with that shard's first
     id; the first copy of a shard is exact_duplicate_global with the canonical id: the index's
-    (content_sha256, canonical_record_id), else the first in order. source_datasets of a kept
+    (content_sha256, canonical_record_id and, to know a record that is run again, canonical_shard_id), else the first in order. source_datasets of a kept
     record holds the sources of all copies.
 
     Group sizes may be anything: minimums are aggregated map-side and joined back on the hash, so
@@ -44,15 +44,17 @@ def exact_dedup(records: DataFrame, shards: DataFrame | None = None, index: Data
     local = slim.groupBy("content_sha256", "source_shard").agg(F.min("_o").alias("_first"), F.collect_set("source_dataset").alias("_src"))
     overall = local.groupBy("content_sha256").agg(F.min("_first").alias("_best"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_src")))).alias("_sources"))
     if index is not None:
-        known = index.select(F.lower("content_sha256").alias("_k"), F.col("canonical_record_id").alias("_known")).dropDuplicates(["_k"])
+        place = F.col("canonical_shard_id") if "canonical_shard_id" in index.columns else F.lit(None).cast("string")
+        known = index.select(F.lower("content_sha256").alias("_k"), F.col("canonical_record_id").alias("_known"), place.alias("_place")).dropDuplicates(["_k"])
         overall = overall.join(known, overall.content_sha256 == known["_k"], "left").drop("_k")
     else:
-        overall = overall.withColumn("_known", F.lit(None).cast("string"))
+        overall = overall.withColumns({"_known": F.lit(None).cast("string"), "_place": F.lit(None).cast("string")})
     firsts = local.join(overall, "content_sha256").select(
-        "content_sha256", F.col("source_shard").alias("_shard"), "_first", "_best", "_sources", "_known")
+        "content_sha256", F.col("source_shard").alias("_shard"), "_first", "_best", "_sources", "_known", "_place")
     df = df.withColumn("_o", order).join(firsts.withColumnRenamed("content_sha256", "_h"), (F.col("content_sha256") == F.col("_h")) & F.col("source_shard").eqNullSafe(F.col("_shard")))
-    # in the index under its own id, a record is itself and not a copy
-    reason = F.when(F.col("_o") != F.col("_first"), "exact_duplicate_intra").when(F.col("_known") != F.col("id"), "exact_duplicate_global").when(
+    # in the index under its own id and shard, a record is itself and not a copy
+    itself = (F.col("_known") == F.col("id")) & F.coalesce(F.col("_place") == F.col("source_shard"), F.lit(False))
+    reason = F.when(F.col("_o") != F.col("_first"), "exact_duplicate_intra").when(F.col("_known").isNotNull() & ~itself, "exact_duplicate_global").when(
         F.col("_known").isNull() & (F.col("_o") != F.col("_best")), "exact_duplicate_global")
     detail = F.when(F.col("_o") != F.col("_first"), F.col("_first.id")).otherwise(F.coalesce("_known", F.col("_best.id")))
     df = df.withColumn("_reason", reason).withColumn("_detail", detail)

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks import config
 from siltworks.operators import filters, repos
@@ -19,7 +20,7 @@ from siltworks.operators.base import finish, union
 from siltworks.operators.exact import exact_dedup
 from siltworks.operators.near import near_dedup
 from siltworks.operators.normalize import normalize, provenance
-from siltworks.schema import EXCLUDED, RECORD, conform
+from siltworks.schema import EXCLUDED, RECORD, REPO, conform
 from siltworks.session import ensure_checkpoint_dir
 
 #: Subsets by record type; other types are in "full".
@@ -85,6 +86,12 @@ def stats(records: DataFrame, excluded: DataFrame) -> DataFrame:
     return union(parts).orderBy("metric")
 
 
+_ROUTED = T.StructType([*RECORD.fields, T.StructField("subset", T.StringType()), T.StructField("source", T.StringType())])
+_INDEX = T.StructType([T.StructField("content_sha256", T.StringType()), T.StructField("canonical_record_id", T.StringType())])
+#: Tables of a store; a batch may add nothing to any of them.
+TABLES = {"data": _ROUTED, "high_quality": _ROUTED, "excluded": EXCLUDED, "repos": REPO, "exact_index": _INDEX}
+
+
 class Store:
     """A folder of outputs, written batch by batch; a batch counts once its commit file is there.
 
@@ -122,8 +129,11 @@ class Store:
 
     def table(self, name: str) -> DataFrame | None:
         """Committed rows of a table."""
-        paths = [p for b in self.committed() if os.path.isdir(p := os.path.join(self.folder, name, f"batch={b}"))]
-        return self.spark.read.option("recursiveFileLookup", "false").parquet(*paths) if paths else None
+        parts = [self._part(name, b) for b in self.committed() if os.path.isdir(os.path.join(self.folder, name, f"batch={b}"))]
+        return union(parts) if parts else None
+
+    def _part(self, name: str, batch: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(os.path.join(self.folder, name, f"batch={batch}"))
 
     def _write(self, name: str, df: DataFrame, batch: str, by: tuple[str, ...] = ()) -> None:
         w = df.write.mode("overwrite").option("compression", self.cfg["processing"]["parquet_compression"]).option("parquet.block.size", self.cfg["processing"]["parquet_row_group_max_mb"] << 20)
@@ -142,7 +152,7 @@ class Store:
         routed = r.records.withColumn("subset", subset_of()).withColumn("source", F.coalesce("source_dataset", F.lit("unknown")))
         self._write("data", routed, batch, ("subset", "source"))
         crash("after_data")
-        written = self.spark.read.parquet(os.path.join(self.folder, "data", f"batch={batch}"))
+        written = self._part("data", batch)
         if self.cfg["subsets"]["materialize_high_quality"]:
             self._write("high_quality", written.where(filters.high_quality(self.cfg["subsets"]["high_quality_min_score"])), batch, ("source",))
         self._write("excluded", r.excluded, batch)
@@ -151,7 +161,7 @@ class Store:
         seen = r.excluded.where(~F.col("reason").isin("exact_duplicate_intra", "exact_duplicate_global", "no_content", "no_provenance", "code_without_repo"))
         self._write("exact_index", written.select("content_sha256", F.col("id").alias("canonical_record_id")).unionByName(seen.select("content_sha256", F.col("id").alias("canonical_record_id"))).dropDuplicates(["content_sha256"]), batch)
         crash("before_commit")
-        counts = {row.metric: row.value for row in stats(written, self.spark.read.parquet(os.path.join(self.folder, "excluded", f"batch={batch}"))).collect()}
+        counts = {row.metric: row.value for row in stats(written, self._part("excluded", batch)).collect()}
         commit = {"batch": batch, "config_hash": own, "version": self.cfg["pipeline_version"], "stats": counts, "files": self._files(batch)}
         part = os.path.join(self.commits, f".{batch}.part")
         with open(part, "w", encoding="utf-8") as f:

@@ -454,7 +454,7 @@ def oracle_sql() -> dict[str, str]:
         "exact_dedup_excluded": f"{dedup} SELECT id, source_shard, CASE WHEN m > 1 THEN 'exact_duplicate_intra' ELSE 'exact_duplicate_global' END AS reason, CASE WHEN m > 1 THEN first_here ELSE best END AS detail FROM ranked WHERE n > 1",
         "exact_dedup_index": """WITH rows AS (SELECT DISTINCT ON (id) id, record_type, sha256(content) AS h, source_shard, coalesce(s.priority, 2147483647) AS p, coalesce(s.seq_index, 9223372036854775807) AS q FROM incoming_records i LEFT JOIN shards s ON i.source_shard = s.shard_id WHERE length(content) > 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY p, q, source_shard NULLS FIRST, id) AS n, row_number() OVER (PARTITION BY h, source_shard ORDER BY p, q, id) AS m FROM rows)
-SELECT record_type, CASE WHEN m > 1 THEN 'exact_duplicate_intra' WHEN e.canonical_record_id <> r.id THEN 'exact_duplicate_global' WHEN e.canonical_record_id IS NULL AND n > 1 THEN 'exact_duplicate_global' ELSE 'kept' END AS reason, count(*) AS n
+SELECT record_type, CASE WHEN m > 1 THEN 'exact_duplicate_intra' WHEN e.canonical_record_id <> r.id OR e.canonical_shard_id <> r.source_shard THEN 'exact_duplicate_global' WHEN e.canonical_record_id IS NULL AND n > 1 THEN 'exact_duplicate_global' ELSE 'kept' END AS reason, count(*) AS n
 FROM ranked r LEFT JOIN exact_hashes e ON lower(e.content_sha256) = r.h GROUP BY 1, 2""",
         "multi_source_provenance": f"{dedup} SELECT r.content_sha256, id AS canonical_record_id, s.source_datasets FROM ranked r JOIN sources s ON r.content_sha256 = s.content_sha256 WHERE n = 1 AND n_sources > 1",
         "license_buckets": f"{base}, {lic} SELECT source_dataset, license_status, coalesce(license, '') AS license, count(*) AS n FROM licensed GROUP BY 1, 2, 3",
