@@ -82,7 +82,7 @@ _SAID_BARE = re.compile(r"(?i)\b(?:pass(?:word|wd|phrase|wort)?|pwd|pw|contrase
 _LOGIN = re.compile(r"(?i)\b(?:log ?in|credentials?|account|creds|user)\b\s*[:=]?\s*[\w.@\-]+\s*[/|]\s*([^\s,;\"'/]{6,})")
 
 _PLACEHOLDER = re.compile(
-    r"""(?ix) \A(?: [*x.•\-_#?0]{3,} | <[^>]*>? | \$\{.* | \$\(.* | \$[A-Z_a-z]\w* | \{\{.* | %\(?\w+\)?[s%]? | \[[^\]]*\] | \{\w*\} | @[\w.]+@? )\Z
+    r"""(?ix) \A[xX0\W_]+\Z | \A(?: [*x.•\-_#?0]{3,} | <[^>]*>? | \$\{.* | \$\(.* | \$[A-Z_a-z]\w* | \{\{.* | %\(?\w+\)?[s%]? | \[[^\]]*\] | \{\w*\} | @[\w.]+@? )\Z
       | your[_\-\s]? | change[_\-\s]?(?:me|it|this) | replace[_\-\s]?(?:me|with|this) | placeholder | example | dummy | redacted | insert[_\-\s] | todo | fixme | fill[_\-\s]?in | xxxx | \*\*\* | \bnone\b | \bnull\b | undefined
       | \A(?:password|passwd|secret|token|test|testing|default|empty|bearer|true|false|string|str|required|optional|changeit|hunter2|foobar|secret[_\-]?key)\Z
       | \A(?:os|env|process|config|settings|secrets?|vault|getenv|environ|self|this|args|params|request|ctx|conf|options|system)[.\[(:] | getenv | environ | \(\s*\) | \A/|\Avault/|\A\./|\A~/ | :// | \A[\w.]+\(
@@ -195,7 +195,7 @@ def hits(text: str, keywords: ahocorasick.Automaton) -> list[Hit]:
     if "PRIVATE KEY" in text:
         for m in _PEM.finditer(text):
             body = m[2].replace("\\n", "\n").replace("\\r", "")
-            if _PEM_BODY.search(body):
+            if _PEM_BODY.search(body) and len(set(body)) > 8:
                 out.append(Hit(m.start(), m.end(), "private_key"))
                 pem.append((m.start(2), m.end(2)))
     at = -1
