@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,5 +45,26 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
     return df if df.rdd.getNumPartitions() * 2 > want else df.repartition(want)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once for each application; they may start without its folder on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="siltworks-"), "siltworks.zip")  # on the driver, which serves it
+    with zipfile.ZipFile(target, "w") as z:
+        for root, _, names in os.walk(home):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.join("siltworks", os.path.relpath(full, home)))
+    sc.addPyFile(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
