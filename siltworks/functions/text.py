@@ -70,12 +70,12 @@ def basename(path: Column) -> Column:
 
 def stem(path: Column) -> Column:
     """The basename without its last extension; leading dots belong to the name."""
-    return F.regexp_replace(basename(path), "(?<=[^.])\\.[^.]*\\z", "")
+    return F.regexp_replace(basename(path), "(?s)\\A(\\.*[^.].*)\\.[^.]*\\z", "$1")
 
 
 def extension(path: Column) -> Column:
     """The last extension with its dot, or an empty string; a name that begins with dots has none for those."""
-    return F.regexp_extract(basename(path), "[^.](\\.[^.]*)\\z", 1)
+    return F.regexp_extract(basename(path), "(?s)\\A\\.*[^.].*(\\.[^.]*)\\z", 1)
 
 
 def or_none(c: Column) -> Column:

@@ -375,7 +375,7 @@ def _flags_sql() -> str:
 def _language_sql(declared: str) -> str:
     by = {e: k for k, v in code.EXTENSIONS.items() for e in v.split()}
     base = "lower(regexp_extract(path, '[^/]*$'))"
-    ext = f"regexp_extract({base}, '[^.](\\.[^.]*)$', 1)"
+    ext = f"regexp_extract({base}, '[^.].*(\\.[^.]*)$', 1)"
     return f"coalesce({declared}, CASE WHEN starts_with({base}, 'dockerfile') THEN 'Dockerfile' WHEN {base} = 'makefile' THEN 'Makefile' ELSE {_map_sql(ext, by)} END)"
 
 
@@ -406,7 +406,7 @@ def _described_sql() -> str:
 spoken AS (SELECT * EXCLUDE (language), {_language_sql('language')} AS language FROM traced WHERE repo_name IS NOT NULL),
 described AS (SELECT *, {_layer_sql('language')} AS layer, {_tech_sql()} AS techs, {_deps_sql("lower(regexp_extract(coalesce(path, ''), '[^/]*$'))")} AS deps,
   lower(array_to_string(regexp_extract_all(substring(content, 1, 20000), {_re(code.IMPORTS)}), ' ')) AS imports,
-  lower(coalesce(CASE WHEN regexp_matches(regexp_extract(path, '[^/]*$'), '[^.]\\.[^.]*$') THEN regexp_replace(regexp_extract(path, '[^/]*$'), '\\.[^.]*$', '') ELSE regexp_extract(path, '[^/]*$') END, '')) AS stem,
+  lower(coalesce(CASE WHEN regexp_matches(regexp_extract(path, '[^/]*$'), '[^.].*\\.[^.]*$') THEN regexp_replace(regexp_extract(path, '[^/]*$'), '\\.[^.]*$', '') ELSE regexp_extract(path, '[^/]*$') END, '')) AS stem,
   {_hit('substring(content, 1, 4000)', code.CLI)} AS cli FROM spoken)"""
 
 
