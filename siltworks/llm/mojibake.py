@@ -10,7 +10,8 @@ been spoiled twice. A mapping is accepted if the corpus explains the restored ru
 better than the one that was there. Runs with replacement or control characters between
 letters are affected even if nothing restores them.
 
-The pair table has at most CLASSES squared entries (20 MB of counts), whatever the corpus.
+The pair table has at most CLASSES squared (under ten million) entries, whatever the corpus;
+text of a dozen languages fills some thousands.
 
 Defined results: null, empty and ASCII contents are unaffected; src_encoding is only a first
 guess; content that can't be restored keeps what it has, with recovered = false.
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import batches
 
-#: Characters below FINE are classes of their own; above, a class is a block of 256.
+#: Characters below FINE are classes of their own; above, a class is a block of 256, or a plane beyond the first.
 FINE = 0x530
 #: U+2000 to U+25FF (punctuation, signs, box drawing) also are classes of their own.
 SIGNS = range(0x2000, 0x2600)
-CLASSES = FINE + len(SIGNS) + 0x1100
+CLASSES = FINE + len(SIGNS) + 256 + 17
 #: Least share of the pairs that a marginal counts with.
 FLOOR = 0.004
 #: Added to a pair's count, and what a run must gain (in nats) to be restored by an 8-bit mapping.
@@ -51,7 +52,7 @@ BLOCK = float(np.log(256))
 
 def classes(text: str) -> np.ndarray:
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    out = np.where(cp < FINE, cp, FINE + len(SIGNS) + (cp >> 8))
+    out = np.where(cp < FINE, cp, FINE + len(SIGNS) + np.where(cp < 0x10000, cp >> 8, 256 + (cp >> 16)))
     signs = (cp >= SIGNS.start) & (cp < SIGNS.stop)
     out[signs] = FINE + cp[signs] - SIGNS.start
     out[(cp >= 48) & (cp < 58)] = 48
@@ -64,7 +65,7 @@ def class_of(ch: str) -> int:
     cp = ord(ch)
     if cp < 128:
         return 48 if "0" <= ch <= "9" else 32 if ch in "\n\r\t" else cp
-    return FINE + cp - SIGNS.start if cp in SIGNS else cp if cp < FINE else FINE + len(SIGNS) + (cp >> 8)
+    return FINE + cp - SIGNS.start if cp in SIGNS else cp if cp < FINE else FINE + len(SIGNS) + (cp >> 8 if cp < 0x10000 else 256 + (cp >> 16))
 
 
 def pairs(text: str) -> np.ndarray:
