@@ -58,8 +58,9 @@ def label_of(lang: str | None) -> str | None:
 
 _FENCED = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[^\n]*$|\Z)", re.M | re.S)
 _CODE = re.compile(
-    r"\s{4,}|\t|\s*(?:[$>#%] \w|[\w./\-]+: (?:exit|error|0x|\d)|#include|import |from \S+ import|def |class |return\b|const |let |var |func |function |package |use |pub |public |private |static |if\s*\(|for\s*\(|while\s*\(|\}|\{|//|/\*|\*/|<\?|<\w+[ >/]|select |insert |update |create |delete |end$|fi$|done$|[\w.$\[\]\"']+\s*(?:=|:=|\+=)\s|[\w.]+\([^)]*\)\s*;?\s*$|@\w|[+\-]{3} |diff |at \w+[.(]|Traceback)",
+    r"\s{4,}|\t|\s*(?:[$#%] \w|[\w./\-]+: (?:exit|error|0x|\d)|#include|import |from \S+ import|def |class |return\b|const |let |var |func |function |package |use |pub |public |private |static |if\s*\(|for\s*\(|while\s*\(|\}|\{|//|/\*|\*/|<\?|<\w+[ >/]|select |insert |update |create |delete |end$|fi$|done$|[\w.$\[\]\"']+\s*(?:=|:=|\+=)\s|[\w.]+\([^)]*\)\s*;?\s*$|@\w|[+\-]{3} |diff |at \w+[.(]|Traceback)",
 )
+_QUOTE = re.compile(r"(?: {0,3}>)+ ?")
 _LEAD = re.compile(r"^\s*(?:[-*+•]\s+|\d+[.)]\s+|>+\s*|\[[ x]\]\s*|#+\s*)*")
 _MARKS = re.compile(r"`[^`\n]*`|https?://\S+|\S+@\S+|<[^<>\n]{0,80}>|\b\w+(?:[_./\\:]\w+)+\b|\b[a-z]+[A-Z]\w*\b|\b0x[0-9a-f]+\b|[​-‏﻿­⁠]")
 _END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=[\"'“«(\[¿¡]*[^\Wa-zß-öø-ÿа-я_])|(?<=[。！？])[」』）]*")
@@ -81,7 +82,8 @@ def parts(text: str) -> list[str]:
     out: list[str] = []
     plain = _VALUES.sub("", text).split("\n")
     for k, line in enumerate(text.split("\n")):
-        if not line or line[-1] in ";{}" or _CODE.match(line):
+        quote = _QUOTE.match(line) if ">" in line else None  # what is quoted may be prose or code
+        if not line or line[-1] in ";{}" or _CODE.match(line, quote.end() if quote else 0):
             continue
         line = plain[k]
         head = _LEAD.match(line)

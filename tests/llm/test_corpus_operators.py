@@ -207,3 +207,13 @@ def test_language_of_documents(rows):
 def test_prose_and_labels():
     assert language.sentences("## Head\n- One two three.\n$ run it now.\nno end here\n`x` 5.") == ["One two three."]
     assert [language.label_of(x) for x in ("en_US", "German", " ", "und", "pt-BR", "sv", None)] == ["en", "de", None, None, "pt", "sv", None]
+
+
+def test_quotes_are_prose(rows):
+    body, quoted = TEXTS["en"], "\n".join("> " + s + "." for s in TEXTS["de"].rstrip(".").split(". "))
+    assert language.sentences("> One two three.\n>> Four five six.\n > > - Seven eight nine.") == ["One two three.", "Four five six.", "Seven eight nine."]
+    assert language.sentences("> $ run it now.\n>     indented by four blanks.\n> x = one two three.\n    > Indented by four.") == []
+    data = [(k * 10 + j, " ".join([t] * 3), lang) for j in range(8) for k, (lang, t) in enumerate(TEXTS.items())]
+    data += [(900, f"{body}\n\n{quoted}", "en"), (901, quoted, "en"), (902, quoted, "de")]
+    got = {tuple(r) for r in language.found(rows("doc_id bigint, text string, lang string", data)).where("doc_id >= 900").collect()}
+    assert got == {(900, "en"), (900, "de"), (901, "de")}
