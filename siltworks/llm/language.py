@@ -33,8 +33,8 @@ LANGS = ("en", "de", "fr", "es", "pt", "it", "nl", "pl", "ru", "ja", "zh")
 SAMPLE, SHORTEST, LONGEST = 120, 60, 6000
 #: Bytes of a dictionary at most, and the bytes by which the best must beat the second.
 DICT_BYTES, MARGIN = 32_000, 2
-#: Level of compression, and bytes behind the smallest at which a language is out.
-LEVEL, BEHIND = 3, 16
+#: Level of compression.
+LEVEL = 3
 
 #: Other spellings of the languages' names (fixed values).
 NAMES = {
@@ -136,68 +136,40 @@ class Classifier:
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             self.by[lang] = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-        words: dict[str, list[str]] = defaultdict(list)
-        for lang in LANGS[:8]:
-            for w in sorted(set(dictionaries.get(lang, b"").decode("utf-8", "ignore").lower().split())):
-                words[w].append(lang)
-        self.words = {w: tuple(k) for w, k in words.items()}
-        self.sizes: dict[str, dict[str, int]] = {}
+        self.sizes: dict[tuple[str, tuple[str, ...]], tuple[int, list[int]]] = {}
         self.keep = keep
         self.memo: dict[str, tuple[str | None, float]] = {}
+        self.script: dict[tuple[str, ...], tuple[str, ...]] = {}
 
-    def _size(self, clause: str, lang: str, possible: dict[str, int]) -> int:
-        got = possible.get(lang)
+    def _encoded(self, clause: str, possible: tuple[str, ...]) -> tuple[int, list[int]]:
+        """Bytes of a clause, and its size in each of the languages; remembered."""
+        got = self.sizes.get((clause, possible))
         if got is None:
-            possible[lang] = got = len(self.by[lang].compress(clause.encode()))
+            if len(self.sizes) >= self.keep:
+                self.sizes.clear()
+            raw = clause.encode()
+            self.sizes[clause, possible] = got = len(raw), [len(self.by[k].compress(raw)) for k in possible]
         return got
 
     def classify(self, sentence: str) -> tuple[str | None, float]:
         """(language, confidence); no language if the margin is narrow.
 
-        Clauses are encoded from the longest on; a language that is BEHIND bytes behind can't
-        become the smallest any more in practice and isn't tried on the shorter ones.
+        Every language of the script encodes every clause; none is left out by a guess.
         """
         script = _script(sentence)
         if len(script) == 1:
             return script[0], 1.0  # no other language is written so
-        possible = [k for k in script if k in self.by]
+        possible = self.script.get(script)
+        if possible is None:
+            self.script[script] = possible = tuple(k for k in script if k in self.by)
         if len(possible) < 2:
             return (possible[0], 1.0) if possible else (None, 0.0)
-        if len(possible) > 2:
-            possible = self._likely(sentence, possible)
-        total = dict.fromkeys(possible, 0)
-        n = 0
-        for clause in sorted(clauses(sentence), key=len, reverse=True):
-            sizes = self.sizes.get(clause)
-            if sizes is None:
-                if len(self.sizes) >= self.keep:
-                    self.sizes.clear()
-                self.sizes[clause] = sizes = {}
-            n += len(clause.encode())
-            for k in total:
-                total[k] += self._size(clause, k, sizes)
-            least = min(total.values())
-            total = {k: v for k, v in total.items() if v < least + BEHIND}
-        order = sorted(total, key=lambda k: (total[k], k))
-        margin = (total[order[1]] - total[order[0]]) if len(order) > 1 else BEHIND
-        if not n or margin < MARGIN:
+        sizes = [self._encoded(c, possible) for c in clauses(sentence)]
+        n = sum(k for k, _ in sizes)
+        order = sorted(zip(map(sum, zip(*[v for _, v in sizes])), possible))
+        if not n or (margin := order[1][0] - order[0][0]) < MARGIN:
             return None, 0.0
-        return order[0], round(min(1.0, margin / max(8.0, 0.35 * n)), 4)
-
-    def _likely(self, sentence: str, possible: list[str]) -> list[str]:
-        """The two languages whose dictionaries hold most of the words, and all that hold half as many.
-
-        A dictionary without a text's words has nothing to refer to, so it can't be the one that
-        encodes it in the fewest bytes.
-        """
-        tally = dict.fromkeys(possible, 0)
-        get = self.words.get
-        for w in sentence.lower().split():
-            for k in get(w, ()):
-                tally[k] += 1
-        order = sorted(possible, key=lambda k: (-tally[k], k))
-        most = tally[order[0]]
-        return possible if most == 0 else order[:2] + [k for k in order[2:] if 2 * tally[k] >= most]
+        return order[0][1], round(min(1.0, margin / max(8.0, 0.35 * n)), 4)
 
     def part(self, part: str) -> tuple[str | None, float]:
         """classify() of a part's prose; remembered, as parts recur in many documents."""

@@ -217,3 +217,18 @@ def test_quotes_are_prose(rows):
     data += [(900, f"{body}\n\n{quoted}", "en"), (901, quoted, "en"), (902, quoted, "de")]
     got = {tuple(r) for r in language.found(rows("doc_id bigint, text string, lang string", data)).where("doc_id >= 900").collect()}
     assert got == {(900, "en"), (900, "de"), (901, "de")}
+
+
+def test_every_language_is_encoded():
+    dicts = {
+        "de": "abgebrochene Verbindungsaufbauten\nfehlgeschlagene Zertifikatspruefungen\nzwei Sicherungspunkten\nam fruehen Vormittag\nohne jede Benachrichtigung\nnach langem Stillstand",
+        "en": "Anna Miller likes the very long title of a rather old handbook\nCarlos Miller", "fr": "Anna Miller et les autres\nCarlos Miller arrive", "es": "el archivo de la cola",
+    }
+    c = language.Classifier({k: v.encode() for k, v in dicts.items()})
+    # names that two dictionaries hold, and words that the right one holds in another form
+    assert c.classify("Anna Miller Verbindungsaufbau Zertifikatspruefung Sicherungspunkt.")[0] == "de"
+    # far behind after the longest clause, ahead after all
+    text = "likes the very long title of a rather old handbook, am fruehen Vormittag, ohne jede Benachrichtigung, nach langem Stillstand, zwei Sicherungspunkten."
+    size = {k: sum(len(z.compress(p.encode())) for p in language.clauses(text)) for k, z in c.by.items()}
+    first, second = sorted(size, key=lambda k: (size[k], k))[:2]
+    assert c.classify(text)[0] == first == "de" and size[second] - size[first] >= language.MARGIN
