@@ -1,4 +1,4 @@
-"""What a stage gives: kept records, audit rows of the excluded, and the conditions they come from."""
+"""What a stage gives: kept records, audit rows of the excluded, what later batches must know, and the conditions they come from."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from siltworks.schema import audit
 class StageResult:
     kept: DataFrame
     excluded: DataFrame | None = None
+    index: DataFrame | None = None
 
 
 def mark(df: DataFrame, reason: Column, detail: Column | None = None) -> DataFrame:

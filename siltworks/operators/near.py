@@ -76,21 +76,23 @@ def _agree(num_perm: int, agree: int):
 
 
 def similar_pairs(sigs: DataFrame, num_perm: int = 128, threshold: float = 0.8) -> DataFrame:
-    """(a, b, similarity) of different signature classes (sid, sig), a < b."""
-    keys = sigs.select("sid", F.explode(band_keys(F.col("sig"), num_perm, threshold)).alias("key"))
-    pairs = keys.alias("x").join(keys.alias("y"), "key").where("x.sid < y.sid").select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    """(a, b, similarity) of different signature classes (sid, sig), a < b; pairs of known classes, if there is such a column, are left out."""
+    known = F.col("known") if "known" in sigs.columns else F.lit(False)
+    keys = sigs.select("sid", known.alias("known"), F.explode(band_keys(F.col("sig"), num_perm, threshold)).alias("key"))
+    pairs = keys.alias("x").join(keys.alias("y"), "key").where("x.sid < y.sid and not (x.known and y.known)").select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
     pairs = pairs.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
     return pairs.select("a", "b", "sa", "sb").mapInArrow(_agree(num_perm, math.ceil(threshold * num_perm)), "a bigint, b bigint, similarity double")
 
 
-def near_labels(records: DataFrame, num_perm: int = 128, threshold: float = 0.8, shingle: int = 5, min_tokens: int = 30, exempt: tuple[str, ...] = ("commit", "issue"), order: list[str] | None = None) -> DataFrame:
-    """id, near_dup_cluster and n_links of every eligible record.
+def _resolve(records: DataFrame, num_perm: int = 128, threshold: float = 0.8, shingle: int = 5, min_tokens: int = 30, exempt: tuple[str, ...] = ("commit", "issue"), order: list[str] | None = None, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """near_labels(), and id and sig of the records that stand for a class and are kept.
 
     Records are taken in order; one is a duplicate if an earlier kept record is similar, and its
     cluster is the smallest id of those. Equal signatures are one class: its first record stands
     for it, and the others are duplicates of that one or of what it repeats. Rounds go on until
     every class is decided; a round only looks at classes that are still open. n_links counts
-    the other records similar to this one.
+    the other records similar to this one. known has id and sig of records that were kept in
+    earlier batches: they come before all others, are kept in advance and have no links.
     """
     ensure_checkpoint_dir(records.sparkSession)
     eligible = records.where(~F.coalesce(F.col("record_type").isin(*exempt), F.lit(False)) & (F.col("token_count") >= min_tokens))
@@ -98,14 +100,21 @@ def near_labels(records: DataFrame, num_perm: int = 128, threshold: float = 0.8,
     placed = eligible.select("id", at.alias("ord"))
     members = signatures(eligible, num_perm, shingle).withColumn("sid", F.xxhash64("sig")).join(placed, "id").checkpoint()
     classes = members.groupBy("sid").agg(F.first("sig").alias("sig"), F.min("ord").alias("ord"), F.count("*").alias("n"))
-    classes = classes.select("sid", "sig", "ord", F.col("ord._id").alias("head"), "n").checkpoint()
-    pairs = similar_pairs(classes.select("sid", "sig"), num_perm, threshold)
+    classes = classes.select("sid", "sig", F.struct(F.lit(1).alias("_new"), "ord").alias("ord"), F.col("ord._id").alias("head"), "n", F.lit(False).alias("known"))
+    if known is not None:
+        k = known.withColumn("sid", F.xxhash64("sig")).groupBy("sid").agg(F.first("sig").alias("_sig"), F.min("id").alias("_head"))
+        old = F.col("_head").isNotNull()
+        classes = classes.join(k, "sid", "full").select(
+            "sid", F.coalesce("sig", "_sig").alias("sig"), F.when(old, F.struct(F.lit(0).alias("_new"), F.lit(None).cast(classes.schema["ord"].dataType["ord"].dataType).alias("ord"))).otherwise(F.col("ord")).alias("ord"),
+            F.coalesce("_head", "head").alias("head"), F.coalesce("n", F.lit(0)).alias("n"), old.alias("known"))
+    classes = classes.checkpoint()
+    pairs = similar_pairs(classes.select("sid", "sig", "known"), num_perm, threshold)
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     o = classes.select("sid", "ord", "head", "n")
     edges = both.join(o.select(F.col("sid").alias("a"), F.col("ord").alias("oa")), "a").join(
         o.select(F.col("sid").alias("b"), F.col("ord").alias("ob"), F.col("head").alias("hb"), F.col("n").alias("nb")), "b").checkpoint()
     earlier = edges.where("ob < oa").select("a", "b", "hb")
-    state = o.select("sid", F.lit(0).alias("state"))
+    state = classes.select("sid", F.col("known").cast("int").alias("state"))
     while True:
         seen = earlier.join(state.select(F.col("sid").alias("b"), F.col("state").alias("sb")), "b").groupBy("a").agg(F.max((F.col("sb") == 1)).alias("hit"), F.max(F.col("sb") == 0).alias("open"))
         state = state.join(seen, state.sid == seen.a, "left").select(
@@ -117,15 +126,22 @@ def near_labels(records: DataFrame, num_perm: int = 128, threshold: float = 0.8,
     links = edges.groupBy("a").agg(F.sum("nb").alias("near"))
     c = o.join(state, "sid").join(label.withColumnRenamed("a", "la"), F.col("sid") == F.col("la"), "left").join(links.withColumnRenamed("a", "ka"), F.col("sid") == F.col("ka"), "left")
     c = c.select("sid", "head", F.when(F.col("state") == 1, F.col("head")).otherwise(F.col("cluster")).alias("target"), (F.coalesce("near", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    return members.select("id", "sid").join(c, "sid").select(
+    labels = members.select("id", "sid").join(c, "sid").select(
         "id", F.when(F.col("id") != F.col("target"), F.col("target")).alias("near_dup_cluster"), "n_links")
+    return labels, classes.where("not known").join(heads, F.col("sid") == F.col("b"), "left_semi").select(F.col("head").alias("id"), "sig")
+
+
+def near_labels(records: DataFrame, **options) -> DataFrame:
+    """id, near_dup_cluster and n_links of every eligible record; see _resolve()."""
+    return _resolve(records, **options)[0]
 
 
 def near_dedup(records: DataFrame, mode: str = "annotate", **options) -> StageResult:
-    """Records with is_near_duplicate and near_dup_cluster, or without near duplicates (mode drop)."""
-    labels = near_labels(records, **options).select(F.col("id").alias("_id"), F.col("near_dup_cluster").alias("_c")).dropDuplicates(["_id"])
+    """Records with is_near_duplicate and near_dup_cluster, or without near duplicates (mode drop); index: id and sig that later batches must know."""
+    labels, index = _resolve(records, **options)
+    labels = labels.select(F.col("id").alias("_id"), F.col("near_dup_cluster").alias("_c")).dropDuplicates(["_id"])
     df = records.join(labels, F.col("id") == F.col("_id"), "left")
     if mode == "drop":
-        return StageResult(df.where("_c is null").select(*records.columns), audit(df.where("_c is not null"), F.lit("near_duplicate"), F.col("_c")))
+        return StageResult(df.where("_c is null").select(*records.columns), audit(df.where("_c is not null"), F.lit("near_duplicate"), F.col("_c")), index)
     df = df.withColumn("is_near_duplicate", F.col("_c").isNotNull()).withColumn("near_dup_cluster", F.col("_c"))
-    return StageResult(df.select(*records.columns))
+    return StageResult(df.select(*records.columns), index=index)

@@ -32,11 +32,13 @@ class Result:
     records: DataFrame
     excluded: DataFrame
     repos: DataFrame
+    near_index: DataFrame | None = None
 
 
-def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None, index: DataFrame | None = None) -> Result:
+def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None, index: DataFrame | None = None, near_index: DataFrame | None = None) -> Result:
     """Raw rows through all stages; nothing runs before a result is written, but for near-duplicate rounds.
 
+    index and near_index hold contents and signatures of earlier batches.
     Repositories are aggregated after deduplication and before the filters that drop records.
     """
     gone: list[DataFrame] = []
@@ -51,9 +53,12 @@ def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None,
     if cfg["dedup"]["exact"]["enabled"]:
         df = take(exact_dedup(df, shards, index))
     df = df.checkpoint()  # what the rounds, the repositories and the filters start from
-    near = cfg["dedup"]["near"]
+    near, signed = cfg["dedup"]["near"], None
     if near["enabled"]:
-        df = take(near_dedup(df, near["mode"], num_perm=near["num_perm"], threshold=near["jaccard_threshold"], shingle=near["shingle_size"], min_tokens=near["min_tokens"], exempt=tuple(near["exempt_record_types"])))
+        # signatures made with other settings can't be compared
+        known = None if near_index is None else near_index.where((F.col("shingle_size") == near["shingle_size"]) & (F.octet_length("sig") == 4 * near["num_perm"]))
+        r = near_dedup(df, near["mode"], num_perm=near["num_perm"], threshold=near["jaccard_threshold"], shingle=near["shingle_size"], min_tokens=near["min_tokens"], exempt=tuple(near["exempt_record_types"]), known=known)
+        df, signed = take(r), r.index.withColumn("shingle_size", F.lit(near["shingle_size"]))
     table = repos.repositories(repos.described(df).drop("content").checkpoint())
     stamps = table.select(F.col("repo_name").alias("_r"), F.col("complexity").cast("float").alias("_c"), F.col("category").alias("_g"))
     # one pass over contents marks what each filter drops; rows are told apart once, afterwards
@@ -62,7 +67,7 @@ def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None,
     df = repos.described(df).drop("imports", "stem", "cli", "n_deps").checkpoint()
     df = take(finish(df))
     df = df.join(stamps, df.repo_name == stamps["_r"], "left").withColumn("repo_complexity", F.col("_c")).withColumn("repo_category", F.col("_g"))
-    return Result(conform(df, RECORD), conform(union(gone), EXCLUDED), repos.export(table))
+    return Result(conform(df, RECORD), conform(union(gone), EXCLUDED), repos.export(table), signed)
 
 
 def subset_of() -> F.Column:
@@ -88,8 +93,9 @@ def stats(records: DataFrame, excluded: DataFrame) -> DataFrame:
 
 _ROUTED = T.StructType([*RECORD.fields, T.StructField("subset", T.StringType()), T.StructField("source", T.StringType())])
 _INDEX = T.StructType([T.StructField("content_sha256", T.StringType()), T.StructField("canonical_record_id", T.StringType())])
+_NEAR = T.StructType([T.StructField("id", T.StringType()), T.StructField("sig", T.BinaryType()), T.StructField("shingle_size", T.IntegerType())])
 #: Tables of a store; a batch may add nothing to any of them.
-TABLES = {"data": _ROUTED, "high_quality": _ROUTED, "excluded": EXCLUDED, "repos": REPO, "exact_index": _INDEX}
+TABLES = {"data": _ROUTED, "high_quality": _ROUTED, "excluded": EXCLUDED, "repos": REPO, "exact_index": _INDEX, "near_index": _NEAR}
 
 
 class Store:
@@ -148,7 +154,7 @@ class Store:
         if (c := self.commit_of(batch)) is not None:
             return c
         crash("before_batch")
-        r = run(raw, self.cfg, shards, self.table("exact_index"))
+        r = run(raw, self.cfg, shards, self.table("exact_index"), self.table("near_index"))
         routed = r.records.withColumn("subset", subset_of()).withColumn("source", F.coalesce("source_dataset", F.lit("unknown")))
         self._write("data", routed, batch, ("subset", "source"))
         crash("after_data")
@@ -160,6 +166,8 @@ class Store:
         # duplicates don't enter the index; records that later filters drop do, as their content was seen
         seen = r.excluded.where(~F.col("reason").isin("exact_duplicate_intra", "exact_duplicate_global", "no_content", "no_provenance", "code_without_repo"))
         self._write("exact_index", written.select("content_sha256", F.col("id").alias("canonical_record_id")).unionByName(seen.select("content_sha256", F.col("id").alias("canonical_record_id"))).dropDuplicates(["content_sha256"]), batch)
+        if r.near_index is not None:
+            self._write("near_index", r.near_index, batch)
         crash("before_commit")
         counts = {row.metric: row.value for row in stats(written, self._part("excluded", batch)).collect()}
         commit = {"batch": batch, "config_hash": own, "version": self.cfg["pipeline_version"], "stats": counts, "files": self._files(batch)}

@@ -129,3 +129,27 @@ def test_stream_curates_new_files_once(spark, tmp_path):
     curate_stream(spark, src, schema, lambda df: df, store, str(tmp_path / "cp")).awaitTermination()
     data = store.table("data")
     assert data.count() == 6 and data.select(F.countDistinct("content_sha256")).first()[0] == 6
+
+
+def test_near_duplicates_of_earlier_batches(spark, tmp_path):
+    def raw(shard, *docs):
+        data = [("code", text, "o/r", f"src/{name}.py", "s", shard, ["mit"]) for name, text in docs]
+        return spark.createDataFrame(data, "record_type string, content string, repo_name string, path string, source_dataset string, source_shard string, detected_licenses array<string>")
+
+    def body(tag, change=""):
+        return "\n".join(f"{tag}_{k} = load_{tag}('{tag}{k}', {k})" for k in range(60)) + f"\n{change}\n"
+
+    for mode in ("annotate", "drop"):
+        store = Store(spark, str(tmp_path / mode), config.load({"dedup": {"near": {"mode": mode}}}, env={}))
+        store.run_batch(raw("s-0", ("a", body("alpha")), ("b", body("beta"))), "0001")
+        store.run_batch(raw("s-1", ("a2", body("alpha", "x = 1")), ("a3", body("alpha", "y = 2")), ("c", body("gamma"))), "0002")
+        store.run_batch(raw("s-2", ("c2", body("gamma", "z = 3")), ("b2", body("beta", "x = 1"))), "0003")
+        rows = {r.path[4:-3]: r for r in store.table("data").collect()}
+        of = {k: rows[k].id for k in ("a", "b", "c")}
+        dup = {"a2": of["a"], "a3": of["a"], "c2": of["c"], "b2": of["b"]}
+        if mode == "drop":
+            gone = {r.path[4:-3]: r.detail for r in store.table("excluded").where("reason = 'near_duplicate'").collect()}
+            assert gone == dup and sorted(rows) == ["a", "b", "c"]
+        else:
+            assert {k: r.near_dup_cluster for k, r in rows.items() if r.is_near_duplicate} == dup and len(rows) == 7
+        assert sorted(r.id for r in store.table("near_index").collect()) == sorted(of.values())
