@@ -44,15 +44,17 @@ def signature(content: str | None, k: int, perms: tuple[np.ndarray, np.ndarray])
     return out.astype("<u4").tobytes()
 
 
-def signatures(records: DataFrame, num_perm: int = 128, shingle: int = 5) -> DataFrame:
-    """id and sig of records with enough words; contents stay in the workers."""
+def signatures(records: DataFrame, num_perm: int = 128, shingle: int = 5, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, sig and the columns of also of records with enough words, a row for each record; contents stay in the workers."""
 
     def run(parts: Iterable[pa.RecordBatch]):
         perms = permutations(num_perm)
         for p in parts:
-            yield pa.RecordBatch.from_arrays([p.column(0), pa.array([signature(t, shingle, perms) for t in p.column(1).to_pylist()], pa.binary())], names=["id", "sig"])
+            yield pa.RecordBatch.from_arrays([p.column(0), pa.array([signature(t, shingle, perms) for t in p.column(1).to_pylist()], pa.binary()), *p.columns[2:]], names=["id", "sig", *also])
 
-    return records.select("id", "content").mapInArrow(run, "id string, sig binary").where("sig is not null")
+    df = records.select("id", "content", *also)
+    out = ", ".join(["id string, sig binary", *(f"{c} {df.schema[c].dataType.simpleString()}" for c in also)])
+    return df.mapInArrow(run, out).where("sig is not null")
 
 
 def band_keys(sig: Column, num_perm: int, threshold: float) -> Column:
@@ -97,8 +99,8 @@ def _resolve(records: DataFrame, num_perm: int = 128, threshold: float = 0.8, sh
     ensure_checkpoint_dir(records.sparkSession)
     eligible = records.where(~F.coalesce(F.col("record_type").isin(*exempt), F.lit(False)) & (F.col("token_count") >= min_tokens))
     at = F.struct(*[F.col(c) for c in (order or ["id"])], F.col("id").alias("_id"))
-    placed = eligible.select("id", at.alias("ord"))
-    members = signatures(eligible, num_perm, shingle).withColumn("sid", F.xxhash64("sig")).join(placed, "id").checkpoint()
+    # ids may recur in other shards, so places go along and aren't joined on the id
+    members = signatures(eligible.withColumn("ord", at), num_perm, shingle, ("ord",)).withColumn("sid", F.xxhash64("sig")).checkpoint()
     classes = members.groupBy("sid").agg(F.first("sig").alias("sig"), F.min("ord").alias("ord"), F.count("*").alias("n"))
     classes = classes.select("sid", "sig", F.struct(F.lit(1).alias("_new"), "ord").alias("ord"), F.col("ord._id").alias("head"), "n", F.lit(False).alias("known"))
     if known is not None:

@@ -184,8 +184,7 @@ def secret_counts(spark, sf):
 
 
 def near_dup_labels(spark, sf):
-    d = traced(spark, sf).dropDuplicates(["content_sha256"])
-    return near.near_labels(d)
+    return near.near_labels(traced(spark, sf))
 
 
 def minhash_signature(spark, sf):

@@ -209,3 +209,14 @@ def test_empty_tables(rows):
     empty = conform(rows(RAW_DDL, []), RAW)
     df = normalize(empty)
     assert provenance(df).kept.count() == exact_dedup(df).kept.count() == near.near_labels(df).count() == repos.repositories(repos.described(df)).count() == 0
+
+
+def test_near_labels_have_a_row_for_each_copy(spark, rows, monkeypatch):
+    from siltworks import queries
+
+    text = " ".join(f"word{k}" for k in range(50))
+    data = [("a", "h1", "s-0", text), ("b", "h1", "s-0", text), ("c", "h1", "s-1", text), ("b", "h1", "s-1", text), ("d", "h2", "s-1", text + " more"), ("e", "h3", "s-1", text[::-1])]
+    df = rows("id string, record_type string, token_count bigint, content_sha256 string, source_shard string, content string", [(i, "code", 90, h, s, t) for i, h, s, t in data])
+    monkeypatch.setattr(queries, "traced", lambda spark, sf: df)
+    got = sorted((r.id, r.near_dup_cluster, r.n_links) for r in queries.near_dup_labels(spark, "").collect())
+    assert got == [("a", None, 4), ("b", "a", 4), ("b", "a", 4), ("c", "a", 4), ("d", "a", 4), ("e", None, 0)]
