@@ -35,10 +35,13 @@ class Hit(NamedTuple):
 
 #: Words and prefixes that every rule below needs at least one of, in lower case.
 KEYWORDS = (
-    "private key", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "npm_", "xox", "sk_live_", "sk_test_", "rk_live_", "aiza", "eyj",
-    "sg.", "pypi-", "hf_", "dop_v1_", "shpat_", "://", "pass", "pwd", "_pw", "pw ", "pw=", "pw:", "mot de", "contrase", "senha", "hasło", "wachtwoord", "пароль", "パスワード", "密码",
-    "secret", "token", "apikey", "api_key", "api-key", "accesskey", "access_key", "hmac", "auth", "login", "logon", "session", "dial(", "new_client", "open(", "credential", "basic", "bearer", "curl", "connect", "sign", "private_key", "encryption_key", "account_key", "accountkey",
+    "private key", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "npm_", "xox", "sk_live_", "sk_test_", "rk_live_", "rk_test_", "aiza", "eyj",
+    "sg.", "pypi-", "hf_", "dop_v1_", "shpat_", "shpca_", "shppa_", "shpss_", "://", "pass", "pw", "mot de", "contrase", "senha", "hasło", "wachtwoord", "пароль", "パスワード", "密码",
+    "secret", "token", "apikey", "api_key", "api-key", "api key", "hmac", "auth", "login", "log in", "log_in", "logon", "log_on", "session", "dial", "new_client", "open", "credential", "creds", "basic", "bearer", "curl", "connect", "sign", "account", "user",
+    *(f"{word}{mark}key" for word in ("access", "encryption", "private", "client", "master", "shared", "webhook", "service", "license", "deploy") for mark in ("", "_", "-")),
 )
+#: Letters that patterns without case take for others, but lower() doesn't.
+_ALIKE = str.maketrans("İıſᲂ", "iisо")
 _PEM = re.compile(r"-----BEGIN ((?:RSA |EC |DSA |OPENSSH |ENCRYPTED |PGP )?PRIVATE KEY(?: BLOCK)?)-----(.*?)(?:-----END \1-----|\Z)", re.S)
 _PEM_BODY = re.compile(r"[A-Za-z0-9+/]{24,}")
 #: Formats of issuers, as they publish them: prefix, alphabet and length.
@@ -187,7 +190,7 @@ def line_hits(line: str) -> Iterator[Hit]:
 
 def hits(text: str, keywords: ahocorasick.Automaton) -> list[Hit]:
     """All credentials of a content, in order, without overlaps."""
-    low = text.lower()
+    low = (text if text.isascii() else text.translate(_ALIKE)).lower()
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     out: list[Hit] = []

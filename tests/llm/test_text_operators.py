@@ -212,3 +212,19 @@ def test_issues_table(rows):
     red = {(r.issue_id, r.content) for r in pii.redacted(df).where("issue_id < 4").collect()}
     assert red == {(1, "Tel: <PHONE>\nTel: <PHONE>"), (2, None), (3, "  ")}
     assert pii.found(df.limit(0)).count() == 0
+
+
+def test_keywords_pass_what_the_rules_match():
+    key, word, hexa = "Zk3" + "fQ9wLx7RtB2m" + "Vd8s", "Tr0ub" + "4dor&3x", "0a1b2c3d4e5f6789" * 2
+    lines = [f"{w}{m}key = '{key}'" for w in ("api", "access", "hmac", "signing", "encryption", "private", "account", "client", "session", "master", "shared", "auth", "webhook", "service", "license", "deploy", "secret") for m in ("", "_", "-")]
+    lines += [f'{n} = "{word}"' for n in ("password", "passwd", "passphrase", "passwort", "passcode", "pass", "pwd", "pw", "db_pw", "PW", "contraseña", "senha", "hasło", "пароль", "mot_de_passe", "wachtwoord")]
+    lines += [f'{n} = "{key}"' for n in ("client_secret", "token", "credentials", "clıent_key", "maſter_key", "MASTER_KEY")]
+    lines += [f'{{"pw": "{word}"}}', f"<pw>{word}</pw>", f"pw\t{word}", f"the api key is {word}", f"api key: {word}"]
+    lines += [f"{n} bob / {word}" for n in ("login:", "log in:", "creds:", "credentials", "user", "account")]
+    lines += [f"{f}('bob', '{word}')" for f in ("login", "log_in", "logon", "log_on", "sign_in", "connect", "authenticate", "new_session", "dial", "dialTLS", "dial ", "new_client", "open", "open ")]
+    lines += [f"x {p}{key}" for p in ("rk_test_", "rk_live_", "sk_test_", "sk_live_")] + [f"x {p}{hexa}" for p in ("shpat_", "shpca_", "shppa_", "shpss_")]
+    for line in lines:
+        by_rules = {(h.start, h.end) for h in credentials.line_hits(line)}
+        assert by_rules, line
+        found = credentials.hits(f"a\n{line}\nb", AUTOMATON)
+        assert found and {(h.start - 2, h.end - 2) for h in found} <= by_rules, line
