@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None) -> int:
                     else:
                         time.sleep(min(cfg["queue"]["retry_backoff_max_s"], cfg["queue"]["retry_backoff_base_s"] * 2**attempt))
         if a.target:
+            store.finalize()  # records get the stamps of whole repositories
             store.publish(a.target)
         return 2 if bad else 0
     return 0

@@ -104,14 +104,34 @@ def category() -> Column:
     )
 
 
-def repositories(described_records: DataFrame, batch: str = "source_shard") -> DataFrame:
+def changes(described_records: DataFrame, batch: str = "source_shard") -> DataFrame:
+    """deltas() with n and linked, the records and linked records of interconnect()."""
+    d = deltas(described_records, batch)
+    link = interconnect(described_records, batch).select(F.col("repo_name").alias("_r"), F.col("batch").alias("_b"), "n", "linked")
+    return d.join(link, (d.repo_name == link["_r"]) & d[batch].eqNullSafe(link["_b"]), "left").drop("_r", "_b")
+
+
+def scored(changes_: DataFrame) -> DataFrame:
     """Totals with interconnect (over all batches), complexity and category."""
-    t = totals(deltas(described_records, batch))
-    link = interconnect(described_records, batch).groupBy(F.col("repo_name").alias("_r")).agg((F.sum(F.when(F.col("n") > 1, F.col("linked")).otherwise(0)) / F.sum("n")).alias("interconnect"))
+    t = totals(changes_)
+    link = changes_.groupBy(F.col("repo_name").alias("_r")).agg((F.sum(F.when(F.col("n") > 1, F.col("linked")).otherwise(0)) / F.sum("n")).alias("interconnect"))
     t = t.join(link, t.repo_name == link["_r"], "left").drop("_r")
     return t.withColumn("complexity", score(F.col("interconnect"))).withColumn("category", category())
 
 
+def stamps(scored_: DataFrame) -> DataFrame:
+    """What records get from their repository: _r (its name), _c (complexity), _g (category)."""
+    return scored_.select(F.col("repo_name").alias("_r"), F.col("complexity").cast("float").alias("_c"), F.col("category").alias("_g"))
+
+
+def stamped(records: DataFrame, stamps_: DataFrame) -> DataFrame:
+    return records.join(stamps_, records.repo_name == stamps_["_r"], "left").withColumn("repo_complexity", F.col("_c")).withColumn("repo_category", F.col("_g")).drop("_r", "_c", "_g")
+
+
+def repositories(described_records: DataFrame, batch: str = "source_shard") -> DataFrame:
+    return scored(changes(described_records, batch))
+
+
 def export(repos: DataFrame) -> DataFrame:
     """The table that is published: keys of histograms, sorted by name."""
     keys = lambda c: F.array_sort(F.coalesce(F.map_keys(c), F.array().cast("array<string>")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import shutil
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from siltworks.operators.base import finish, union
 from siltworks.operators.exact import exact_dedup
 from siltworks.operators.near import near_dedup
 from siltworks.operators.normalize import normalize, provenance
-from siltworks.schema import EXCLUDED, RECORD, REPO, conform
+from siltworks.schema import CHANGES, EXCLUDED, RECORD, conform
 from siltworks.session import ensure_checkpoint_dir
 
 #: Subsets by record type; other types are in "full".
@@ -33,12 +34,13 @@ class Result:
     excluded: DataFrame
     repos: DataFrame
     near_index: DataFrame | None = None
+    changes: DataFrame | None = None
 
 
-def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None, index: DataFrame | None = None, near_index: DataFrame | None = None) -> Result:
+def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None, index: DataFrame | None = None, near_index: DataFrame | None = None, changes: DataFrame | None = None) -> Result:
     """Raw rows through all stages; nothing runs before a result is written, but for near-duplicate rounds.
 
-    index and near_index hold contents and signatures of earlier batches.
+    index, near_index and changes hold contents, signatures and repository deltas of earlier batches.
     Repositories are aggregated after deduplication and before the filters that drop records.
     """
     gone: list[DataFrame] = []
@@ -59,15 +61,17 @@ def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None,
         known = None if near_index is None else near_index.where((F.col("shingle_size") == near["shingle_size"]) & (F.octet_length("sig") == 4 * near["num_perm"]))
         r = near_dedup(df, near["mode"], num_perm=near["num_perm"], threshold=near["jaccard_threshold"], shingle=near["shingle_size"], min_tokens=near["min_tokens"], exempt=tuple(near["exempt_record_types"]), known=known)
         df, signed = take(r), r.index.withColumn("shingle_size", F.lit(near["shingle_size"]))
-    table = repos.repositories(repos.described(df).drop("content").checkpoint())
-    stamps = table.select(F.col("repo_name").alias("_r"), F.col("complexity").cast("float").alias("_c"), F.col("category").alias("_g"))
+    own = repos.changes(repos.described(df).drop("content").checkpoint())
+    own = own.select(*[F.col(f.name).cast(f.dataType) for f in CHANGES]).checkpoint()
+    every = own if changes is None else own.unionByName(changes.join(own.select("repo_name").distinct(), "repo_name", "left_semi"))
+    table = repos.scored(every)
     # one pass over contents marks what each filter drops; rows are told apart once, afterwards
     for step, part in ((filters.mark_license, "licenses"), (filters.mark_secrets, "secrets"), (filters.mark_quality, "quality"), (filters.mark_trivial, "complexity")):
         df = step(df, cfg[part])
     df = repos.described(df).drop("imports", "stem", "cli", "n_deps").checkpoint()
     df = take(finish(df))
-    df = df.join(stamps, df.repo_name == stamps["_r"], "left").withColumn("repo_complexity", F.col("_c")).withColumn("repo_category", F.col("_g"))
-    return Result(conform(df, RECORD), conform(union(gone), EXCLUDED), repos.export(table), signed)
+    df = repos.stamped(df, repos.stamps(table))
+    return Result(conform(df, RECORD), conform(union(gone), EXCLUDED), repos.export(table), signed, own)
 
 
 def subset_of() -> F.Column:
@@ -95,7 +99,7 @@ _ROUTED = T.StructType([*RECORD.fields, T.StructField("subset", T.StringType()),
 _INDEX = T.StructType([T.StructField("content_sha256", T.StringType()), T.StructField("canonical_record_id", T.StringType())])
 _NEAR = T.StructType([T.StructField("id", T.StringType()), T.StructField("sig", T.BinaryType()), T.StructField("shingle_size", T.IntegerType())])
 #: Tables of a store; a batch may add nothing to any of them.
-TABLES = {"data": _ROUTED, "high_quality": _ROUTED, "excluded": EXCLUDED, "repos": REPO, "exact_index": _INDEX, "near_index": _NEAR}
+TABLES = {"data": _ROUTED, "high_quality": _ROUTED, "excluded": EXCLUDED, "repo_deltas": CHANGES, "exact_index": _INDEX, "near_index": _NEAR}
 
 
 class Store:
@@ -103,6 +107,9 @@ class Store:
 
     A batch that is run again overwrites its own partitions, so side effects are the same however
     often it runs; what an interrupted batch left behind has no commit and is never read.
+    Repositories may be spread over batches: a batch adds deltas and stamps its records by those
+    of all batches so far; finalize() stamps the records of earlier batches again, in new folders
+    that their commits then name.
     """
 
     def __init__(self, spark: SparkSession, folder: str, cfg: Mapping[str, Any]) -> None:
@@ -122,24 +129,29 @@ class Store:
 
     def reconcile(self) -> list[str]:
         """Removes outputs of batches without a commit; gives their names."""
-        done, gone = set(self.committed()), set()
+        gone = set()
+        done = {self._folder(name, b) for name in TABLES for b in self.committed()}
         for name in os.listdir(self.folder):
             top = os.path.join(self.folder, name)
             if name.startswith("_") or not os.path.isdir(top):
                 continue
             for part in os.listdir(top):
-                if part.startswith("batch=") and part[6:] not in done:
+                if part.startswith("batch=") and os.path.join(top, part) not in done:
                     shutil.rmtree(os.path.join(top, part))
                     gone.add(part[6:])
         return sorted(gone)
 
     def table(self, name: str) -> DataFrame | None:
         """Committed rows of a table."""
-        parts = [self._part(name, b) for b in self.committed() if os.path.isdir(os.path.join(self.folder, name, f"batch={b}"))]
+        parts = [self._part(name, b) for b in self.committed() if os.path.isdir(self._folder(name, b))]
         return union(parts) if parts else None
 
+    def _folder(self, name: str, batch: str) -> str:
+        """Where a batch has its rows of a table; after they were stamped again, its commit says which revision counts."""
+        return os.path.join(self.folder, name, f"batch={batch}" + (self.commit_of(batch) or {}).get("revisions", {}).get(name, ""))
+
     def _part(self, name: str, batch: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(os.path.join(self.folder, name, f"batch={batch}"))
+        return self.spark.read.schema(TABLES[name]).parquet(self._folder(name, batch))
 
     def _write(self, name: str, df: DataFrame, batch: str, by: tuple[str, ...] = ()) -> None:
         w = df.write.mode("overwrite").option("compression", self.cfg["processing"]["parquet_compression"]).option("parquet.block.size", self.cfg["processing"]["parquet_row_group_max_mb"] << 20)
@@ -154,7 +166,7 @@ class Store:
         if (c := self.commit_of(batch)) is not None:
             return c
         crash("before_batch")
-        r = run(raw, self.cfg, shards, self.table("exact_index"), self.table("near_index"))
+        r = run(raw, self.cfg, shards, self.table("exact_index"), self.table("near_index"), self.table("repo_deltas"))
         routed = r.records.withColumn("subset", subset_of()).withColumn("source", F.coalesce("source_dataset", F.lit("unknown")))
         self._write("data", routed, batch, ("subset", "source"))
         crash("after_data")
@@ -162,7 +174,7 @@ class Store:
         if self.cfg["subsets"]["materialize_high_quality"]:
             self._write("high_quality", written.where(filters.high_quality(self.cfg["subsets"]["high_quality_min_score"])), batch, ("source",))
         self._write("excluded", r.excluded, batch)
-        self._write("repos", r.repos, batch)
+        self._write("repo_deltas", r.changes, batch)
         # duplicates don't enter the index; records that later filters drop do, as their content was seen
         seen = r.excluded.where(~F.col("reason").isin("exact_duplicate_intra", "exact_duplicate_global", "no_content", "no_provenance", "code_without_repo"))
         self._write("exact_index", written.select("content_sha256", F.col("id").alias("canonical_record_id")).unionByName(seen.select("content_sha256", F.col("id").alias("canonical_record_id"))).dropDuplicates(["content_sha256"]), batch)
@@ -171,55 +183,127 @@ class Store:
         crash("before_commit")
         counts = {row.metric: row.value for row in stats(written, self._part("excluded", batch)).collect()}
         commit = {"batch": batch, "config_hash": own, "version": self.cfg["pipeline_version"], "stats": counts, "files": self._files(batch)}
-        part = os.path.join(self.commits, f".{batch}.part")
+        self._commit(commit)
+        crash("after_commit")
+        return commit
+
+    def _commit(self, commit: dict[str, Any]) -> None:
+        part = os.path.join(self.commits, f".{commit['batch']}.part")
         with open(part, "w", encoding="utf-8") as f:
             json.dump(commit, f, sort_keys=True, indent=1)
             f.flush()
             os.fsync(f.fileno())
-        os.replace(part, os.path.join(self.commits, f"{batch}.json"))
-        crash("after_commit")
-        return commit
+        os.replace(part, os.path.join(self.commits, f"{commit['batch']}.json"))
 
-    def _files(self, batch: str) -> list[dict[str, Any]]:
+    def _files(self, batch: str, revisions: Mapping[str, str] = {}) -> list[dict[str, Any]]:
+        return [x for name in sorted(os.listdir(self.folder)) for x in self._listed(os.path.join(self.folder, name, f"batch={batch}" + revisions.get(name, "")))]
+
+    def _listed(self, top: str) -> list[dict[str, Any]]:
         out = []
-        for name in sorted(os.listdir(self.folder)):
-            top = os.path.join(self.folder, name, f"batch={batch}")
-            for root, _, files in os.walk(top):
-                for f in sorted(files):
-                    if f.endswith(".parquet"):
-                        full = os.path.join(root, f)
-                        out.append({"path": os.path.relpath(full, self.folder), "size": os.path.getsize(full), "sha256": file_sha256(full)})
+        for root, _, files in os.walk(top):
+            for f in sorted(files):
+                if f.endswith(".parquet"):
+                    full = os.path.join(root, f)
+                    out.append({"path": os.path.relpath(full, self.folder), "size": os.path.getsize(full), "sha256": file_sha256(full)})
         return out
 
+    def repositories(self) -> DataFrame | None:
+        """Totals, scores and categories of repositories over all committed batches."""
+        for b in self.committed():
+            if not os.path.isdir(self._folder("repo_deltas", b)):
+                raise config.ConfigError(f"batch {b} has no repository deltas; it must be run again")
+        deltas = self.table("repo_deltas")
+        return None if deltas is None else repos.scored(deltas)
+
+    def _total(self) -> list[dict[str, Any]]:
+        """Files of the table of repositories, which is written unless it is that of the committed batches."""
+        path, top = os.path.join(self.folder, "_repos.json"), os.path.join(self.folder, "repos", "total")
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as f:
+                if (got := json.load(f))["batches"] == self.committed():
+                    return got["files"]
+        table = self.repositories()
+        if table is None:
+            return []
+        repos.export(table).write.mode("overwrite").option("compression", self.cfg["processing"]["parquet_compression"]).parquet(top)
+        files = self._listed(top)
+        with open(f"{path}.part", "w", encoding="utf-8") as f:
+            json.dump({"batches": self.committed(), "files": files}, f)
+        os.replace(f"{path}.part", path)
+        return files
+
+    def _restamp(self) -> None:
+        """Stamps records of repositories that later batches added to; a crash leaves either the old or the new folder in the commit."""
+        table = self.repositories()
+        if table is None:
+            return
+        stamps = repos.stamps(table).checkpoint()
+        for b in self.committed():
+            c = self.commit_of(b)
+            old, new = c.get("revisions", {}), {}
+            for name, by in (("data", ("subset", "source")), ("high_quality", ("source",))):
+                if not os.path.isdir(self._folder(name, b)):
+                    continue
+                part = self._part(name, b)
+                wrong = part.join(stamps, part.repo_name == stamps["_r"], "left").where("not (repo_complexity <=> _c and repo_category <=> _g)")
+                if wrong.head(1):
+                    new[name] = f".r{int(old.get(name, '.r0')[2:]) + 1}"
+                    self._write(name, repos.stamped(part, stamps), b + new[name], by)
+            if new:
+                gone = [self._folder(name, b) for name in new]
+                c["revisions"] = {**old, **new}
+                c["files"] = self._files(b, c["revisions"])
+                crash("before_restamp_commit")
+                self._commit(c)
+                for top in gone:
+                    shutil.rmtree(top)
+
     def publish(self, target: str) -> tuple[int, int]:
-        """Copies committed files that aren't there yet, verified by size and hash: (copied, skipped)."""
+        """Copies committed files and the table of repositories where they aren't there yet, verified by size and hash: (copied, skipped).
+
+        Records have the stamps of the last finalize(), or else of their batch; what a published folder has of older revisions is removed.
+        """
         copied = skipped = 0
-        for b in self.committed():
-            for f in self.commit_of(b)["files"]:
-                to = os.path.normpath(os.path.join(target, f["path"]))
-                if not to.startswith(os.path.normpath(target) + os.sep):
-                    raise ValueError(f"{f['path']} leaves the target folder")
-                if os.path.exists(to) and os.path.getsize(to) == f["size"] and file_sha256(to) == f["sha256"]:
-                    skipped += 1
+        for f in self._public():
+            to = os.path.normpath(os.path.join(target, f["path"]))
+            if not to.startswith(os.path.normpath(target) + os.sep):
+                raise ValueError(f"{f['path']} leaves the target folder")
+            if os.path.exists(to) and os.path.getsize(to) == f["size"] and file_sha256(to) == f["sha256"]:
+                skipped += 1
+                continue
+            os.makedirs(os.path.dirname(to), exist_ok=True)
+            shutil.copyfile(os.path.join(self.folder, f["path"]), f"{to}.part")
+            os.replace(f"{to}.part", to)
+            copied += 1
+        own = {f["path"] for f in self._public()}
+        done = self.committed()
+        for name in ("data", "high_quality", "repos"):
+            top = os.path.join(target, name)
+            for part in os.listdir(top) if os.path.isdir(top) else []:
+                if part != "total" and re.sub(r"\.r\d+\Z", "", part)[6:] not in done and part[6:] not in done:
                     continue
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                shutil.copyfile(os.path.join(self.folder, f["path"]), f"{to}.part")
-                os.replace(f"{to}.part", to)
-                copied += 1
+                for root, _, files in os.walk(os.path.join(top, part)):
+                    for f in files:
+                        if os.path.relpath(os.path.join(root, f), target) not in own:
+                            os.remove(os.path.join(root, f))
         return copied, skipped
 
+    def _public(self) -> list[dict[str, Any]]:
+        return [f for b in self.committed() for f in self.commit_of(b)["files"]] + self._total()
+
     def verify(self, target: str) -> list[str]:
-        """Files of committed batches that are missing or changed in a published folder."""
+        """Files of committed batches and of the table of repositories that are missing or changed in a published folder."""
         out = []
-        for b in self.committed():
-            for f in self.commit_of(b)["files"]:
-                to = os.path.join(target, f["path"])
-                if not os.path.exists(to) or os.path.getsize(to) != f["size"] or file_sha256(to) != f["sha256"]:
-                    out.append(f["path"])
+        for f in self._public():
+            to = os.path.join(target, f["path"])
+            if not os.path.exists(to) or os.path.getsize(to) != f["size"] or file_sha256(to) != f["sha256"]:
+                out.append(f["path"])
         return out
 
     def finalize(self) -> dict[str, Any]:
-        """Totals over all commits, and a card that describes the dataset."""
+        """Totals over all commits, final stamps and repositories, and a card that describes the dataset."""
+        self._restamp()
+        self._total()
         total: dict[str, int] = {}
         for b in self.committed():
             for k, v in self.commit_of(b)["stats"].items():

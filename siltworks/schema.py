@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 _LIST = T.ArrayType(T.StringType())
 
 
-_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "float": T.FloatType(), "boolean": T.BooleanType(), "array<string>": _LIST}
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "float": T.FloatType(), "boolean": T.BooleanType(), "array<string>": _LIST, "map<string,bigint>": T.MapType(T.StringType(), T.LongType())}
 
 
 def _struct(text: str) -> T.StructType:
@@ -29,6 +29,11 @@ REPO = _struct(
     "repo_name string, repo_url string, category string, capture string, n_files bigint, n_tokens bigint, n_commits bigint, n_issues bigint, n_deps bigint, languages array<string>, layers array<string>, "
     "technologies array<string>, licenses array<string>, has_tests boolean, has_ci boolean, has_infrastructure boolean, complexity float"
 )
+#: What a batch adds to a repository.
+CHANGES = _struct(
+    "repo_name string, source_shard string, repo_url string, n_files bigint, n_tokens bigint, n_commits bigint, n_issues bigint, n_deps bigint, has_tests boolean, has_ci boolean, has_infrastructure boolean, "
+    "is_cli boolean, technologies array<string>, licenses array<string>, languages map<string,bigint>, layers map<string,bigint>, n bigint, linked bigint"
+)
 PROVENANCE = _struct("content_sha256 string, canonical_record_id string, source_datasets array<string>")
 
 #: What an adapter must give; other columns of a record get their defaults.

@@ -153,3 +153,29 @@ def test_near_duplicates_of_earlier_batches(spark, tmp_path):
         else:
             assert {k: r.near_dup_cluster for k, r in rows.items() if r.is_near_duplicate} == dup and len(rows) == 7
         assert sorted(r.id for r in store.table("near_index").collect()) == sorted(of.values())
+
+
+def test_repositories_over_several_batches(spark, tmp_path):
+    cfg = config.load({"dedup": {"near": {"enabled": False}}}, env={})
+    parts = [_raw(spark, 5, "s-0"), _raw(spark, 7, "s-1", 5)]
+    one, two = (Store(spark, str(tmp_path / name), cfg) for name in ("one", "two"))
+    one.run_batch(parts[0].unionByName(parts[1]), "0001")
+    for k, raw in enumerate(parts):
+        two.run_batch(raw, f"000{k}")
+    target = str(tmp_path / "hub")
+    two.publish(target)
+    for s in (one, two):
+        s.finalize()
+    two.publish(target)
+
+    def stamps(df):
+        return sorted((r.id, r.repo_complexity, r.repo_category) for r in df.collect())
+
+    want = stamps(one.table("data"))
+    assert len(want) == 12 and all(c for _, c, _ in want)
+    for name in ("data", "high_quality"):
+        assert stamps(two.table(name)) == stamps(one.table(name))
+        assert stamps(spark.read.parquet(os.path.join(target, name))) == stamps(one.table(name))
+    total = {r.repo_name: r for r in spark.read.parquet(os.path.join(target, "repos", "total")).collect()}
+    assert {k: (r.n_files, r.complexity) for k, r in total.items()} == {r.repo_name: (r.n_files, pytest.approx(r.complexity)) for r in one.repositories().collect()} and sum(r.n_files for r in total.values()) == 12
+    assert two.verify(target) == [] and two.reconcile() == [] and two.publish(target)[0] == 0
