@@ -7,7 +7,7 @@ evidence has a reliability prior; the posterior is exact, since the hidden varia
 many states as there are known licenses. A file contradicts itself when even the license
 that explains most of its evidence leaves a notice (or the repository's offer) unexplained:
 the odds that all of it is right are then below those that a reliable statement is false.
-A file is unknown when its posterior stays on "none".
+A file is unknown when the posterior of "none" is not below that of all licenses together.
 
 Defined results: null or empty content has no notice; a null repo_name gets no offers and
 no row of its own; redelivered rows count once; a table without rows gives no rows.
@@ -111,7 +111,8 @@ def posterior(ids: list[str], notices: list[list[str]], offers: list[str], scann
             p *= r / len(named) if i in named else (1 - r) / size
         belief[i] = p
     total = sum(belief.values())
-    best = max(sorted(belief), key=lambda i: belief[i])
+    # unknown or not is decided first: a statement of several licenses divides among them, but speaks against "none" as a whole
+    best = NONE if 2 * belief[NONE] >= total else max(sorted(ids), key=lambda i: belief[i])
     # All firm statements hold together only if some choice of states explains every pair of notices and the offer.
     clash = any(not set(a) & set(b) for k, a in enumerate(notices) for b in notices[k + 1:]) or bool(offers) and any(not set(n) & set(offers) for n in notices)
     return best, belief[best] / total, clash

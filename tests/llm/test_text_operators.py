@@ -228,3 +228,11 @@ def test_keywords_pass_what_the_rules_match():
         assert by_rules, line
         found = credentials.hits(f"a\n{line}\nb", AUTOMATON)
         assert found and {(h.start - 2, h.end - 2) for h in found} <= by_rules, line
+
+
+def test_several_detected_licenses_are_known():
+    ids = [f"L{k:02d}" for k in range(12)]
+    for n in (1, 2, 3, 12):
+        best, p, clash = licenses.posterior(ids, [], [], ids[:n])
+        assert best == "L00" and 0 < p < 1 and not clash, n
+    assert licenses.posterior(ids, [], [], [])[0] == "none"
