@@ -45,6 +45,7 @@ class Span(NamedTuple):
 _AT = r"(?:@|＠|%40|\s*[\[({<]\s*(?:at|AT|arroba|ät|chez|@)\s*[\])}>]\s*|\s+(?:AT|arroba)\s+)"
 _DOT = r"(?:\.|\s*[\[({]\s*(?:dot|DOT|punkt|punto|point)\s*[\])}]\s*|\s+(?:dot|DOT|punkt|punto)\s+)"
 _EMAIL = re.compile(rf"(?<![\w.+@%/\-])(?P<user>\w[\w.+\-]*?)(?P<at>{_AT})(?P<host>\w[\w\-]*(?:{_DOT}\w[\w\-]*)+)")
+_AT_WORD = r"[\s\[({<](?:at|arroba|chez|ät)[\s\])}>]"
 _EMAIL_WORDS = re.compile(r"(?<![\w.+@%/\-])(?P<user>\w[\w.+\-]*)(?P<at>\s+at\s+)(?P<host>\w[\w\-]*(?:\s+(?:dot|punkt|punto)\s+\w[\w\-]*)+)")
 _PHONE = re.compile(r"(?<![\w.+:#/\-])(?:\+|\()?\d(?:[\d ().\-/]|(?<=\d)\s(?=\(?\d)){5,22}\d(?:\s*(?:ext|x|Durchwahl|poste|wew|доб)\.?\s*\d{1,5})?(?![\w@]|[.\-:]\d)")
 _ID = re.compile(
@@ -54,7 +55,8 @@ _ID = re.compile(
     r")(?![\w@]|[.\-]\d)"
 )
 _UP = r"[^\W\d_a-zß-öø-ÿ]"
-_CAP = r"[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁ][^\W\d_]*(?:['’\-][^\W\d_]+)*"
+_CAPITAL = "[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁ]"
+_CAP = rf"{_CAPITAL}[^\W\d_]*(?:['’\-][^\W\d_]+)*"
 _PLACE = rf"{_CAP}(?:(?:[ \-]|\-(?:sur|de|am|an der|les|la)\-)(?:de |del |am |an der |la |sur )?{_CAP}){{0,3}}"
 _WAY_EN = r"(?:Street|St|Road|Rd|Lane|Ln|Avenue|Ave|Boulevard|Blvd|Terrace|Drive|Dr|Court|Ct|Way|Close|Square|Sq|Row|Crescent|Hill|Walk|Parkway)"
 _ADDRESS = re.compile(
@@ -78,9 +80,11 @@ _NAME = re.compile(
     rf"|(?P<plain>{_CAP}(?:\s(?:[^\W\d_a-zа-я]\.|van|von|de|da|di|del|der|la|el|{_CAP})){{0,2}}\s{_CAP})"
     rf")(?![\w@`(]|[.\-_/]\w)"
 )
-_LOWER_CUE = re.compile(r"(?i)\b(?:talk(?:ed|ing)? (?:to|with)|spoke (?:to|with)|spoken (?:to|with)|met with|ask(?:ed)?|ping(?:ed)?|emailed|reported by|written by|found by|cc|thanks to|assignee|author|reporter|maintainer|customer)\b[:=,\s\"]*")
+_LOWER_AFTER = r"\b(?:talk(?:ed|ing)? (?:to|with)|spoke (?:to|with)|spoken (?:to|with)|met with|ask(?:ed)?|ping(?:ed)?|emailed|reported by|written by|found by|cc|thanks to|assignee|author|reporter|maintainer|customer)\b"
+_LOWER_CUE = re.compile(rf"(?i){_LOWER_AFTER}[:=,\s\"]*")
 _LOWER = re.compile(rf"(?P<lower>{_WORD}\s{_WORD})(?![\w@`(]|[.\-_/]\w)")
-_CJK_NAME = re.compile(r"(?P<cjk>[一-鿿]{2,4}|[゠-ヿ・]{4,12})(?=さん|様|氏|先生|女士|小姐)")
+_CJK_AFTER = "さん|様|氏|先生|女士|小姐"
+_CJK_NAME = re.compile(rf"(?P<cjk>[一-鿿]{{2,4}}|[゠-ヿ・]{{4,12}})(?={_CJK_AFTER})")
 
 _CUES = {
     "tel": re.compile(r"(?i)(?:\btel(?:efon[oe]?|éfono|éphone|efone)?\b|phone|\bcall\b|\bmobile\b|\bcell\b|\bfax\b|rufen sie|anrufen|\bnummer\b|my number|llam[ea]|appel|ligue|zadzwo|звон|тел|電話|电话|support line|hotline|whatsapp|sms)[^\n]{0,36}$"),
@@ -125,7 +129,7 @@ def candidates(line: str, before: str) -> list[Span]:
     """Candidate segments of a line; before is the last line that isn't blank."""
     out: list[Span] = []
     bare = line.strip(" \t\r.,;*>-")
-    if "@" in line or "%40" in line or "＠" in line or re.search(r"(?i)[\s\[({<](?:at|arroba|chez|ät)[\s\])}>]", line):
+    if "@" in line or "%40" in line or "＠" in line or re.search(rf"(?i){_AT_WORD}", line):
         for m in [*_EMAIL.finditer(line), *_EMAIL_WORDS.finditer(line)]:
             at, host, user = m["at"], m["host"], m["user"]
             left, right = line[max(0, m.start() - 40): m.start()], line[m.end(): m.end() + 40]
@@ -361,7 +365,8 @@ def train(n_lines: int = 1400, epochs: int = 30, seed: int = 11) -> tuple[tuple[
 
 # --- documents ----------------------------------------------------------------------------
 
-_WORTH = re.compile(r"[@＠]|%40|\d{2}|\d\w? [^\W\d_]|[^\W\d_] \d|[^\W\d_]\.?,?\s[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁ]|(?i:\s(?:at|arroba)\s|\bto\s|\bby\s|\bcc\s|[\[({<]at|author|さん|様|氏|先生|女士|小姐)")
+#: What any candidate needs one of, made of the same lists as candidates().
+_WORTH = re.compile(rf"[@＠\d]|%40|[^\W\d_](?:\.?,?\s|\.){_CAPITAL}|{_CJK_AFTER}|(?i:{_AT_WORD}|{_LOWER_AFTER})")
 
 
 def find(text: str, model: Model) -> list[Span]:

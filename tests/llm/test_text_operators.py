@@ -236,3 +236,16 @@ def test_several_detected_licenses_are_known():
         best, p, clash = licenses.posterior(ids, [], [], ids[:n])
         assert best == "L00" and 0 < p < 1 and not clash, n
     assert licenses.posterior(ids, [], [], [])[0] == "none"
+
+
+def test_lines_with_candidates_are_read():
+    rng = random.Random(4)
+    samples = [pii._sample(rng, t) for t in pii._TEMPLATES for _ in range(3)]
+    assert all(pii._WORTH.search(line) for line, cases in samples if cases)
+    lines = [line for line, _ in samples] + [
+        "spoke with anna lindqvist yesterday", "met with anna lindqvist", "pinged anna lindqvist", "assignee: anna lindqvist", "J.Smith wrote it down", "anna (arroba) sample.test", "anna [chez] sample.test", "anna [ät] sample.test", "1 2 3 4 5 6 7 8", "田中太郎さん"]
+    assert sum(bool(pii.candidates(line, "")) for line in lines[-10:]) >= 8
+    for line in lines:
+        assert pii._WORTH.search(line) or not pii.candidates(line, ""), line
+    model = pii.Model(dict(pii.train()))
+    assert ("name", "anna lindqvist") in [(s.kind, "spoke with anna lindqvist yesterday"[s.start:s.end]) for s in pii.find("spoke with anna lindqvist yesterday", model)]
