@@ -111,10 +111,10 @@ def changes(described_records: DataFrame, batch: str = "source_shard") -> DataFr
     return d.join(link, (d.repo_name == link["_r"]) & d[batch].eqNullSafe(link["_b"]), "left").drop("_r", "_b")
 
 
-def scored(changes_: DataFrame) -> DataFrame:
-    """Totals with interconnect (over all batches), complexity and category."""
-    t = totals(changes_)
-    link = changes_.groupBy(F.col("repo_name").alias("_r")).agg((F.sum(F.when(F.col("n") > 1, F.col("linked")).otherwise(0)) / F.sum("n")).alias("interconnect"))
+def scored(deltas_: DataFrame, links: DataFrame) -> DataFrame:
+    """Totals with interconnect (over all batches), complexity and category; links has n and linked of each batch."""
+    t = totals(deltas_)
+    link = links.groupBy(F.col("repo_name").alias("_r")).agg((F.sum(F.when(F.col("n") > 1, F.col("linked")).otherwise(0)) / F.sum("n")).alias("interconnect"))
     t = t.join(link, t.repo_name == link["_r"], "left").drop("_r")
     return t.withColumn("complexity", score(F.col("interconnect"))).withColumn("category", category())
 
@@ -129,7 +129,7 @@ def stamped(records: DataFrame, stamps_: DataFrame) -> DataFrame:
 
 
 def repositories(described_records: DataFrame, batch: str = "source_shard") -> DataFrame:
-    return scored(changes(described_records, batch))
+    return scored(deltas(described_records, batch), interconnect(described_records, batch))
 
 
 def export(repos: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None,
     own = repos.changes(repos.described(df).drop("content").checkpoint())
     own = own.select(*[F.col(f.name).cast(f.dataType) for f in CHANGES]).checkpoint()
     every = own if changes is None else own.unionByName(changes.join(own.select("repo_name").distinct(), "repo_name", "left_semi"))
-    table = repos.scored(every)
+    table = repos.scored(every, every)
     # one pass over contents marks what each filter drops; rows are told apart once, afterwards
     for step, part in ((filters.mark_license, "licenses"), (filters.mark_secrets, "secrets"), (filters.mark_quality, "quality"), (filters.mark_trivial, "complexity")):
         df = step(df, cfg[part])
@@ -213,7 +213,7 @@ class Store:
             if not os.path.isdir(self._folder("repo_deltas", b)):
                 raise config.ConfigError(f"batch {b} has no repository deltas; it must be run again")
         deltas = self.table("repo_deltas")
-        return None if deltas is None else repos.scored(deltas)
+        return None if deltas is None else repos.scored(deltas, deltas)
 
     def _total(self) -> list[dict[str, Any]]:
         """Files of the table of repositories, which is written unless it is that of the committed batches."""
