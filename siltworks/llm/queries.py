@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.session import spread, table
 
@@ -39,6 +40,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.found(spread(table(spark, sf_dir, "raw_content")))
 
 
+def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long contents are after redaction, which must not change any length or line end."""
+    from siltworks.llm import credentials
+
+    d = credentials.redacted(spread(table(spark, sf_dir, "raw_content")))
+    size, lines = F.length("content"), F.length("content") - F.length(F.replace("content", F.lit("\n"), F.lit("")))
+    return d.where("content is not null").groupBy("blob_id").agg(F.count("*").alias("n"), F.max(size).alias("n_chars"), F.max(lines).alias("n_line_ends"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltworks.llm import mojibake
 
@@ -88,8 +98,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_redacted, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can say the same; the others are tested against plain versions."""
+    return {
+        "p5_redacted": "SELECT blob_id, count(*) AS n, max(length(content)) AS n_chars, max(length(content) - length(replace(content, chr(10), ''))) AS n_line_ends FROM raw_content WHERE content IS NOT NULL GROUP BY 1",
+    }
