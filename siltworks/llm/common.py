@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: Bytes of a batch that are turned into Python objects at once, about.
+MOST = 16 << 20
+
+
 def batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: T.StructType | str) -> DataFrame:
     """Apply a function of columns (lists) to columns, batch by batch.
 
@@ -27,8 +31,11 @@ def batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[s
             if part.num_rows == 0:
                 continue
             fn = fn or make()
-            out = fn({name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+            step = max(1, int(part.num_rows * MOST / max(MOST, part.nbytes)))
+            for k in range(0, part.num_rows, step):  # long texts go in pieces of few rows
+                piece = part.slice(k, step)
+                out = fn({name: piece.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

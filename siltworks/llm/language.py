@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -33,8 +34,8 @@ LANGS = ("en", "de", "fr", "es", "pt", "it", "nl", "pl", "ru", "ja", "zh")
 SAMPLE, SHORTEST, LONGEST = 120, 60, 6000
 #: Bytes of a dictionary at most, and the bytes by which the best must beat the second.
 DICT_BYTES, MARGIN = 32_000, 2
-#: Level of compression.
-LEVEL = 3
+#: Level of compression: sizes of single clauses hardly differ between levels, and the tables of the first are the smallest.
+LEVEL = 1
 
 #: Other spellings of the languages' names (fixed values).
 NAMES = {
@@ -63,16 +64,32 @@ _CODE = re.compile(
 _QUOTE = re.compile(r"(?: {0,3}>)+ ?")
 _LEAD = re.compile(r"^\s*(?:[-*+•]\s+|\d+[.)]\s+|>+\s*|\[[ x]\]\s*|#+\s*)*")
 _MARKS = re.compile(r"`[^`\n]*`|https?://\S+|\S+@\S+|<[^<>\n]{0,80}>|\b\w+(?:[_./\\:]\w+)+\b|\b[a-z]+[A-Z]\w*\b|\b0x[0-9a-f]+\b|[​-‏﻿­⁠]")
-_END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=[\"'“«(\[¿¡]*[^\Wa-zß-öø-ÿа-я_])|(?<=[。！？])[」』）]*")
+#: Ends of sentences: a stop, closing marks and a blank before something that begins one; ideographic stops need no blank.
+_END = re.compile(r"[.!?…][\"'”»)\]]*\s+(?=[\"'“«(\[¿¡]*[^\Wa-zß-öø-ÿа-я_])")
+_END_WIDE = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=[\"'“«(\[¿¡]*[^\Wa-zß-öø-ÿа-я_])|(?<=[。！？])[」』）]*")
+_WIDE = re.compile("[。！？]")
 _CLOSING, _ENDS = " \t\r\"'”»)]」』）", tuple(".!?…。！？")
 _CLAUSE = re.compile(r"[,;:、，；：()\[\]—–]+\s*")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _KANA = re.compile(r"[぀-ヿ]")
-_HAS_MARKS = re.compile(r"[`_/\\@<​-‏﻿­⁠]|[a-z][A-Z]|\w[.:]\w|0x")
+_HAS_MARKS = re.compile(r"[`_/\\@<​-‏﻿­⁠]")
+_HAS_JOINTS = re.compile(r"[A-Z.:](?:(?<=[a-z][A-Z])|(?<=\w[.:])(?=\w))")
 _WORDS = re.compile(r"(?:[^\W\d_]{2,}[\W\d_]+(?:[^\W\d_][\W\d_]+)*){2}[^\W\d_]{2,}")
 
 
-_VALUES = re.compile(r"`[^`\n]*`|(?<![\w.])\d+(?:[.,]\d+)*(?!\w)")
+_VALUES = re.compile(r"`[^`\n]*`|\d(?<![\w.]\d)\d*(?:[.,]\d+)*(?!\w)")
+
+
+def split_sentences(line: str) -> list[str]:
+    """Sentences of a line; closing marks and blanks between them are dropped."""
+    if not line.isascii() and _WIDE.search(line):
+        return _END_WIDE.split(line)
+    out, at = [], 0
+    for m in _END.finditer(line):
+        out.append(line[at: m.start() + 1])
+        at = m.end()
+    out.append(line[at:])
+    return out
 
 
 def parts(text: str) -> list[str]:
@@ -88,7 +105,7 @@ def parts(text: str) -> list[str]:
         line = plain[k]
         head = _LEAD.match(line)
         if "#" not in head[0]:
-            out += _END.split(line[head.end():] if head.end() else line)
+            out += split_sentences(line[head.end():] if head.end() else line)
     return out
 
 
@@ -96,7 +113,7 @@ def prose(part: str) -> str | None:
     """The words of a whole sentence, or None: it has an end, and at least three words (or five ideographs) that aren't identifiers."""
     if part.rstrip(_CLOSING)[-1:] not in _ENDS:
         return None
-    if _HAS_MARKS.search(part):
+    if _HAS_MARKS.search(part) or _HAS_JOINTS.search(part) or "0x" in part:
         part = _MARKS.sub(" ", part)
     return part if _WORDS.search(part) or len(_CJK.findall(part)) >= 5 else None
 
@@ -128,59 +145,91 @@ def clauses(sentence: str) -> list[str]:
 
 
 class Classifier:
-    """Compressed sizes under each language's dictionary; sizes of clauses are kept."""
+    """Compressed sizes under each language's dictionary; parts and clauses are remembered, as they recur in many documents."""
 
-    def __init__(self, dictionaries: dict[str, bytes], keep: int = 300_000) -> None:
+    def __init__(self, dictionaries: dict[str, bytes], keep: int = 120_000_000) -> None:
         self.by = {}
         for lang, raw in sorted(dictionaries.items()):
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             self.by[lang] = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-        self.sizes: dict[tuple[str, tuple[str, ...]], tuple[int, list[int]]] = {}
-        self.keep = keep
+        #: Characters that may be remembered, and those that are, with some for each entry.
+        self.keep, self.held = keep, 0
+        self.sizes: dict[tuple[str, ...], dict[str, tuple[int, list[int]]]] = {}
         self.memo: dict[str, tuple[str | None, float]] = {}
-        self.script: dict[tuple[str, ...], tuple[str, ...]] = {}
+        self.possible: dict[tuple[str, ...], tuple[str, ...]] = {}
 
-    def _encoded(self, clause: str, possible: tuple[str, ...]) -> tuple[int, list[int]]:
-        """Bytes of a clause, and its size in each of the languages; remembered."""
-        got = self.sizes.get((clause, possible))
+    def _languages(self, script: tuple[str, ...]) -> tuple[str, ...]:
+        """Languages to encode with: those of the script; all for a script that one of them has alone, so that its sentences have a margin, too."""
+        got = self.possible.get(script)
         if got is None:
-            if len(self.sizes) >= self.keep:
-                self.sizes.clear()
-            raw = clause.encode()
-            self.sizes[clause, possible] = got = len(raw), [len(self.by[k].compress(raw)) for k in possible]
+            got = tuple(k for k in script if k in self.by)
+            self.possible[script] = got = tuple(self.by) if len(script) == 1 and got else got
         return got
 
+    def _encode(self, clauses_: Iterable[str], possible: tuple[str, ...]) -> None:
+        """Sizes of clauses in each of the languages, language by language, so that a dictionary's tables stay in the processor's cache."""
+        new = list(clauses_)
+        raw = [c.encode() for c in new]
+        columns = [[len(x) for x in map(self.by[k].compress, raw)] for k in possible]
+        self.sizes[possible].update(zip(new, zip(map(len, raw), zip(*columns))))
+        self.held += sum(map(len, new)) + 200 * len(new)
+
     def classify(self, sentence: str) -> tuple[str | None, float]:
-        """(language, confidence); no language if the margin is narrow.
+        """(language, confidence) of one sentence; no language if the margin is narrow."""
+        return self.classify_all([sentence])[0]
 
-        Every language of the script encodes every clause; none is left out by a guess.
+    def classify_all(self, sentences_: list[str]) -> list[tuple[str | None, float]]:
+        """classify() of many sentences. Every language of the script encodes every clause; none is left out by a guess.
+
+        Where no dictionary of the script's languages is there, the script itself decides if it leaves one language.
         """
-        script = _script(sentence)
-        if len(script) == 1:
-            return script[0], 1.0  # no other language is written so
-        possible = self.script.get(script)
-        if possible is None:
-            self.script[script] = possible = tuple(k for k in script if k in self.by)
-        if len(possible) < 2:
-            return (possible[0], 1.0) if possible else (None, 0.0)
-        sizes = [self._encoded(c, possible) for c in clauses(sentence)]
-        n = sum(k for k, _ in sizes)
-        order = sorted(zip(map(sum, zip(*[v for _, v in sizes])), possible))
-        if not n or (margin := order[1][0] - order[0][0]) < MARGIN:
-            return None, 0.0
-        return order[0][1], round(min(1.0, margin / max(8.0, 0.35 * n)), 4)
-
-    def part(self, part: str) -> tuple[str | None, float]:
-        """classify() of a part's prose; remembered, as parts recur in many documents."""
-        got = self.memo.get(part)
-        if got is None:
-            text = prose(part)
-            got = self.classify(text) if text is not None else (None, 0.0)
-            if len(self.memo) >= self.keep:
-                self.memo.clear()
-            self.memo[part] = got
-        return got
+        cut: list[tuple[tuple[str, ...], list[str]]] = []
+        fresh: dict[tuple[str, ...], dict[str, None]] = {}
+        for s in sentences_:
+            script = _script(s)
+            possible = self._languages(script)
+            if len(possible) < 2:
+                cut.append((possible or (script if len(script) == 1 else ()), []))
+                continue
+            known = self.sizes.setdefault(possible, {})
+            cs = clauses(s)
+            cut.append((possible, cs))
+            for c in cs:
+                if c not in known:
+                    fresh.setdefault(possible, {})[c] = None
+        for possible, new in fresh.items():
+            self._encode(new, possible)
+        out: list[tuple[str | None, float]] = []
+        for possible, cs in cut:
+            if len(possible) < 2:
+                out.append((possible[0], 1.0) if possible else (None, 0.0))
+                continue
+            if not cs:
+                out.append((None, 0.0))
+                continue
+            known = self.sizes[possible]
+            n, sizes = known[cs[0]]
+            if len(cs) > 1:
+                got = [known[c] for c in cs]
+                n, sizes = sum([g[0] for g in got]), [sum(x) for x in zip(*[g[1] for g in got])]
+            first, second = sorted(sizes)[:2]
+            margin = second - first
+            out.append((possible[sizes.index(first)], round(min(1.0, margin / max(8.0, 0.35 * n)), 4)) if margin >= MARGIN else (None, 0.0))
+        return out
+
+    def learn(self, parts_: Iterable[str]) -> None:
+        """Remembers the language of the prose of each part."""
+        new = [p for p in parts_ if p not in self.memo]
+        if self.held > self.keep:
+            self.sizes.clear()
+            self.memo.clear()
+            self.held, new = 0, list(parts_)
+        texts = [prose(p) for p in new]
+        self.memo.update(dict.fromkeys((p for p, t in zip(new, texts) if t is None), (None, 0.0)))
+        kept = [p for p, t in zip(new, texts) if t is not None]
+        self.memo.update(zip(kept, self.classify_all([t for t in texts if t is not None])))
+        self.held += sum(map(len, new)) + 200 * len(new)
 
 
 def _dictionary(parts: list[str]) -> bytes:
@@ -208,11 +257,8 @@ def dictionaries(sample: list[tuple[str, str]]) -> dict[str, bytes]:
     for own, other in ((0, 1), (1, 0)):
         judge = Classifier({k: _dictionary(_vote(v)) for k, v in halves[other].items() if v})
         for lang, parts in halves[own].items():
-            for s in parts:
-                got, _ = judge.classify(s)
-                if got == lang:
-                    kept[lang].append(s)
-    return {k: _dictionary(v) for k, v in kept.items()}
+            kept[lang] += [s for s, (got, _) in zip(parts, judge.classify_all(parts)) if got == lang]
+    return {k: _dictionary(v) for k, v in kept.items() if v}
 
 
 def _vote(parts: list[str]) -> list[str]:
@@ -264,10 +310,11 @@ def _segment(dicts: dict[str, bytes]):
 
         def fn(cols: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {k: [] for k in ("doc_id", "lang", "segments", "langs", "confidence")}
-            known, part = c.memo, c.part
-            for doc, lang, text in zip(cols["doc_id"], cols["lang"], cols["text"]):
-                got = [(k, *(known.get(p) or part(p))) for k, p in enumerate(parts(text))] if text else []
-                got = [g for g in got if g[1]]
+            texts = [parts(t) if t else [] for t in cols["text"]]
+            c.learn(dict.fromkeys(p for ps in texts for p in ps))
+            known = c.memo
+            for doc, lang, ps in zip(cols["doc_id"], cols["lang"], texts):
+                got = [(k, *g) for k, p in enumerate(ps) if (g := known[p])[0]]
                 if got:
                     out["doc_id"].append(doc)
                     out["lang"].append(label_of(lang))

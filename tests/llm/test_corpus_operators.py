@@ -232,3 +232,23 @@ def test_every_language_is_encoded():
     size = {k: sum(len(z.compress(p.encode())) for p in language.clauses(text)) for k, z in c.by.items()}
     first, second = sorted(size, key=lambda k: (size[k], k))[:2]
     assert c.classify(text)[0] == first == "de" and size[second] - size[first] >= language.MARGIN
+
+
+def test_many_sentences_at_once_equal_one_at_a_time():
+    c = language.Classifier({k: v.encode() for k, v in TEXTS.items()})
+    texts = [s for t in TEXTS.values() for s in language.sentences(t)] + ["Пример: see the file, пожалуйста подождите немного здесь.", "これは test です、そして終わりました。", "x y z.", "!!! ???"]
+    together = c.classify_all(texts)
+    assert together == [language.Classifier({k: v.encode() for k, v in TEXTS.items()}).classify(s) for s in texts]
+    assert {got for got, _ in together[:2]} == {"en"} and all(0 <= p <= 1 for _, p in together)
+    # a script that one language has alone is decided by sizes too, and by itself where its language has no dictionary
+    ru = language.sentences(TEXTS["ru"])[0]
+    assert c.classify(ru)[0] == "ru" and language.Classifier({"en": b"the quick brown fox", "de": b"der schnelle Fuchs"}).classify(ru) == ("ru", 1.0)
+    small = language.Classifier({k: v.encode() for k, v in TEXTS.items()}, keep=1)  # forgets after every batch
+    for _ in range(2):
+        small.learn(texts)
+        assert [small.memo[t] for t in texts[:4]] == together[:4]
+
+
+def test_sentences_are_cut_at_ends():
+    assert language.split_sentences('One. Two! "Three?" (Four.) five. Six… Ünd. ünd') == ["One.", "Two!", '"Three?', "(Four.) five.", "Six…", "Ünd. ünd"]
+    assert language.split_sentences("一。二！」三") == ["一。", "二！", "三"] and language.split_sentences("") == [""]
