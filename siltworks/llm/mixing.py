@@ -1,10 +1,11 @@
 """Problem 9: a mixture in which each source has its target share of the tokens.
 
-Token shares of the sources are raised to exponents: weights go as target^a * natural^(1-a),
-and a, found by bisection, is the largest in [0, 1] at which no source has to repeat its
-documents more often than it may within the budget. Without a budget the largest one is
-taken at which a = 1 is feasible, so that weights are the targets. (temper() is the plain
-form, natural^(1/T) with the temperature bisected to a target entropy.)
+Token shares of the sources are raised to exponents. Where targets are given, weights go as
+target^a * natural^(1-a), and a, found by bisection, is the largest in [0, 1] at which no
+source has to repeat its documents more often than it may within the budget (tokens, or a
+multiple of all tokens there are). Without a budget the largest one is taken at which a = 1 is
+feasible, so that weights are the targets. Where a target entropy is given instead, weights
+are natural^x, with x bisected to that entropy; entropy "targets" is that of the target shares.
 
 Weights are realised by budgeted block permutations: whole passes over a source's documents,
 then a prefix of a permutation by hash, and one more document that fits the gap best. The prefix is found by sums over blocks of about
@@ -79,26 +80,42 @@ def weights(tokens: Mapping[str, int], targets: Mapping[str, float], repeats: Ma
     return at(low), low, min(budget, most(at(low)))
 
 
-def _plan(sizes: DataFrame, targets: DataFrame, budget: float | None) -> tuple[list[tuple], float, float]:
-    """Rows (source, target, max_repeats, tokens, docs, weight, quota) for the sources of the fixed table of targets."""
+def _plan(sizes: DataFrame, targets: DataFrame, budget: float | None, passes: float | None, evenness: float | str | None) -> tuple[list[tuple], float, float]:
+    """Rows (source, target, max_repeats, tokens, docs, weight, quota, exponent) for the sources of the fixed table of targets."""
     aims = {r.source: (max(0.0, r.target_share or 0.0), 1 if r.max_repeats is None else max(0, r.max_repeats)) for r in targets.dropna(subset=["source"]).collect()}
     have = {r.source: (r.n_tokens, r.n_docs) for r in sizes.collect()}  # one row for each source of the targets
-    w, exponent, total = weights({k: have.get(k, (0, 0))[0] for k in aims}, {k: v[0] for k, v in aims.items()}, {k: v[1] for k, v in aims.items()}, budget)
-    return [(k, float(a), int(m), int(have.get(k, (0, 0))[0]), int(have.get(k, (0, 0))[1]), float(w.get(k, 0.0)), float(w.get(k, 0.0) * total)) for k, (a, m) in sorted(aims.items())], exponent, total
+    tokens, shares_, repeats = {k: have.get(k, (0, 0))[0] for k in aims}, {k: v[0] for k, v in aims.items()}, {k: v[1] for k, v in aims.items()}
+    if passes is not None:
+        budget = passes * sum(tokens.values())
+    if evenness is None:
+        w, exponent, total = weights(tokens, shares_, repeats, budget)
+    else:
+        some = {k: n for k, n in tokens.items() if n > 0 and repeats[k] > 0}
+        aim = entropy({k: v / (sum(shares_[k] for k in some) or 1.0) for k, v in shares_.items() if k in some}) if evenness == "targets" else float(evenness)
+        w, exponent = temper(some, aim) if some else ({}, 1.0)
+        most = min((repeats[k] * some[k] / v for k, v in w.items() if v > 0), default=0.0)
+        total = most if budget is None else min(budget, most)
+    rows = [(k, float(a), int(m), int(tokens[k]), int(have.get(k, (0, 0))[1]), float(w.get(k, 0.0)), float(w.get(k, 0.0) * total), float(exponent)) for k, (a, m) in sorted(aims.items())]
+    return rows, exponent, total
 
 
-_PLAN = "source string, target_share double, max_repeats int, source_tokens bigint, source_docs bigint, weight double, quota double"
+_PLAN = "source string, target_share double, max_repeats int, source_tokens bigint, source_docs bigint, weight double, quota double, exponent double"
 
 
-def mixture(documents: DataFrame, targets: DataFrame, budget: float | None = None, path: str | None = None) -> DataFrame:
+def mixture(documents: DataFrame, targets: DataFrame, budget: float | None = None, path: str | None = None, passes: float | None = None, evenness: float | str | None = None) -> DataFrame:
     """doc_id, source, n_tokens and copies of every document in the mixture."""
+    return _realised(documents, targets, budget, path, passes, evenness)[0]
+
+
+def _realised(documents: DataFrame, targets: DataFrame, budget: float | None, path: str | None, passes: float | None, evenness: float | str | None) -> tuple[DataFrame, DataFrame]:
+    """The mixture, and its plan: a row for each source of the targets."""
     wanted = targets.select("source").dropna().distinct()  # a fixed table of tens of rows
     docs = documents.where("text is not null and source is not null").select("doc_id", "source", "text").join(F.broadcast(wanted), "source", "left_semi")
     docs = counted(docs, ["doc_id", "source"], "text", path).where("n_tokens > 0")
     ensure_checkpoint_dir(documents.sparkSession)
     docs = docs.checkpoint()  # ids and sizes only; counted once
     sizes = docs.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"))
-    rows, _, _ = _plan(sizes, targets, budget)
+    rows, _, _ = _plan(sizes, targets, budget, passes, evenness)
     plan = documents.sparkSession.createDataFrame(rows, _PLAN)
     docs = docs.join(F.broadcast(plan.select("source", "source_tokens", "source_docs", "quota")), "source")
     docs = docs.withColumn("passes", F.floor(F.col("quota") / F.col("source_tokens") + 1e-9))
@@ -118,16 +135,17 @@ def mixture(documents: DataFrame, targets: DataFrame, budget: float | None = Non
     last = last.groupBy("s").agg(F.min(F.struct(miss.alias("miss"), "h", "end")).alias("m")).select("s", F.col("m.h").alias("mh"), F.col("m.end").alias("mend"))
     docs = docs.join(F.broadcast(last), (F.col("source") == F.col("s")) & (F.col("h") == F.col("mh")) & (F.col("end") == F.col("mend")), "left")
     copies = F.col("passes") + F.when(F.col("taken") | F.col("s").isNotNull(), 1).otherwise(0)
-    return docs.select("doc_id", "source", "n_tokens", copies.cast("int").alias("copies")).where("copies > 0")
+    return docs.select("doc_id", "source", "n_tokens", copies.cast("int").alias("copies")).where("copies > 0"), plan
 
 
-def shares(documents: DataFrame, targets: DataFrame, budget: float | None = None, path: str | None = None) -> DataFrame:
-    """Each source's target share beside the share of tokens that the mixture has, and how often its documents occur."""
-    got = mixture(documents, targets, budget, path).groupBy(F.col("source").alias("s")).agg(
+def shares(documents: DataFrame, targets: DataFrame, budget: float | None = None, path: str | None = None, passes: float | None = None, evenness: float | str | None = None) -> DataFrame:
+    """Each source's target share and planned weight beside the share of tokens that the mixture has, how often its documents occur, and the exponent."""
+    mix, plan = _realised(documents, targets, budget, path, passes, evenness)
+    got = mix.groupBy(F.col("source").alias("s")).agg(
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("n_docs"), F.max("copies").alias("most_copies"))
-    t = targets.select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), "max_repeats").join(got, F.col("source") == F.col("s"), "left")
+    t = plan.select("source", "target_share", "max_repeats", "weight", "exponent").join(got, F.col("source") == F.col("s"), "left")
     t = t.withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     share = F.col("tokens") / F.greatest(F.lit(1), F.sum("tokens").over(W.partitionBy()))
     return t.select(
-        "source", "target_share", "max_repeats", "tokens", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
+        "source", "target_share", "max_repeats", "weight", "exponent", "tokens", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
         share.alias("actual_share"), (share - F.col("target_share")).alias("gap"))

@@ -91,6 +91,20 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "source_targets"))
 
 
+def p9_limited_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares within a budget of all tokens there are: the exponent is bisected to the repetition limits."""
+    from siltworks.llm import mixing
+
+    return mixing.shares(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "source_targets"), passes=1.0)
+
+
+def p9_tempered_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of tempered natural weights whose entropy is that of the targets."""
+    from siltworks.llm import mixing
+
+    return mixing.shares(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "source_targets"), evenness="targets")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltworks.llm import language
 
@@ -98,7 +112,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_redacted, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_redacted, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p9_limited_shares, p9_tempered_shares, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,8 +3,8 @@
 Both use a byte-level BPE of the public tokenizers; its vocabulary file is a parameter.
 
 Counting keeps each piece as a linked list of symbols with a priority queue of merges and
-counts the symbols that survive; words (with the blanks before them) are counted once in
-each task and weighted by frequency. Encoding cuts texts into content-defined chunks by a
+counts the symbols that survive; words (with the blanks before them) are gathered by slice or
+file, counted once and weighted by their frequency. Encoding cuts texts into content-defined chunks by a
 rolling hash; a chunk's inside is encoded once in each task, and the join of two chunks is
 encoded again from the last place before to the first place after it at which both
 encodings are certain to agree: before white space that follows something else, where no
@@ -21,7 +21,8 @@ import heapq
 import importlib.util
 import os
 import re
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -110,15 +111,27 @@ class Counts:
             self.words[word] = n
         return n
 
-    def __call__(self, text: str | None) -> int:
-        if not text:
-            return 0
+    def weighted(self, words: Mapping[str, int]) -> int:
+        """Tokens of words that occur so many times: each word is counted once and weighted by its frequency."""
         known, total = self.words, 0
-        for word in self._WORD.findall(text):
+        for word, times in words.items():
             n = known.get(word)
-            total += self._word(word) if n is None else n
+            total += times * (self._word(word) if n is None else n)
         return total
 
+    def __call__(self, text: str | None) -> int:
+        return self.weighted(Counter(self._WORD.findall(text))) if text else 0
+
+    def totals(self, keys: Iterable[tuple], texts: Iterable[str | None]) -> dict[tuple, list[int]]:
+        """[texts, tokens] of each key; the words of all texts of a key are gathered before they are counted."""
+        words: dict[tuple, Counter] = {}
+        n_texts: Counter = Counter()
+        for key, text in zip(keys, texts):
+            n_texts[key] += 1
+            if text:
+                words.setdefault(key, Counter()).update(self._WORD.findall(text))
+        return {k: [n, self.weighted(words.get(k, {}))] for k, n in n_texts.items()}
+
 
 def _count(path: str, keys: tuple[str, ...], column: str):
     def make():
@@ -139,6 +152,25 @@ def counted(df: DataFrame, keys: list[str], column: str, path: str | None = None
     return batches(df.select(*keys, column), _count(path or vocabulary_path(), tuple(keys), column), schema)
 
 
+def _sum_up(path: str, keys: tuple[str, ...], column: str):
+    def make():
+        count = Counts(path)
+
+        def fn(c: dict[str, list]) -> dict[str, list]:
+            got = count.totals(zip(*[c[k] for k in keys]), c[column])
+            return {k: [key[i] for key in got] for i, k in enumerate(keys)} | {"n_texts": [v[0] for v in got.values()], "n_tokens": [v[1] for v in got.values()]}
+
+        return fn
+
+    return make
+
+
+def summed(df: DataFrame, keys: list[str], column: str, path: str | None = None) -> DataFrame:
+    """n_texts and n_tokens of a text column by keys (strings), one row for each key in a batch, to be added up."""
+    schema = ", ".join(f"`{k}` string" for k in keys) + ", n_texts bigint, n_tokens bigint"
+    return batches(df.select(*keys, column), _sum_up(path or vocabulary_path(), tuple(keys), column), schema)
+
+
 def _language():
     s = F.lower(F.trim("lang"))
     names = F.create_map(*[F.lit(x) for n, k in sorted(BY_NAME.items()) for x in (n, k)])
@@ -148,10 +180,9 @@ def _language():
 
 def document_slices(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Slices of documents; a null language, source or domain is "unknown", and languages are in one spelling."""
-    docs = counted(documents, ["source", "lang", "domain"], "text", path).select(
-        F.lit("document").alias("kind"), F.lit(None).cast("string").alias("shard"), F.coalesce("source", F.lit("unknown")).alias("source"),
-        _language().alias("language"), F.coalesce("domain", F.lit("unknown")).alias("domain"), "n_tokens")
-    return docs.groupBy("kind", "shard", "source", "language", "domain").agg(F.count("*").alias("n_texts"), F.sum("n_tokens").alias("n_tokens"))
+    docs = documents.select(F.coalesce("source", F.lit("unknown")).alias("source"), _language().alias("language"), F.coalesce("domain", F.lit("unknown")).alias("domain"), "text")
+    docs = summed(docs, ["source", "language", "domain"], "text", path).groupBy("source", "language", "domain").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_tokens").alias("n_tokens"))
+    return docs.select(F.lit("document").alias("kind"), F.lit(None).cast("string").alias("shard"), "source", "language", "domain", "n_texts", "n_tokens")
 
 
 def file_slices(raw: DataFrame, shards: DataFrame, path: str | None = None) -> DataFrame:

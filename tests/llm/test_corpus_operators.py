@@ -252,3 +252,28 @@ def test_many_sentences_at_once_equal_one_at_a_time():
 def test_sentences_are_cut_at_ends():
     assert language.split_sentences('One. Two! "Three?" (Four.) five. Six… Ünd. ünd') == ["One.", "Two!", '"Three?', "(Four.) five.", "Six…", "Ünd. ünd"]
     assert language.split_sentences("一。二！」三") == ["一。", "二！", "三"] and language.split_sentences("") == [""]
+
+
+def test_limits_and_entropy_move_the_exponent(rows):
+    rng = random.Random(6)
+    docs = rows("doc_id bigint, text string, source string", [(k, " ".join(["word"] * rng.randint(1, 9)), "big" if k % 10 else "small") for k in range(2000)])
+    targets = rows("source string, target_share double, max_repeats int", [("big", 0.5, 1), ("small", 0.5, 2)])
+    got = {r.source: r for r in mixing.shares(docs, targets, passes=1.0).collect()}
+    assert 0 < got["small"].exponent < 1 and got["small"].most_copies == 2
+    # all of the small source twice, and the rest of the budget from the big one
+    assert got["small"].actual_share == pytest.approx(got["small"].weight, abs=0.01) and got["small"].actual_share == pytest.approx(0.2, abs=0.03)
+    got = {r.source: r for r in mixing.shares(docs, targets, evenness=0.5).collect()}
+    assert mixing.entropy({k: r.weight for k, r in got.items()}) == pytest.approx(0.5, abs=1e-4) and got["small"].actual_share == pytest.approx(got["small"].weight, abs=0.01)
+    even = {r.source: r for r in mixing.shares(docs, targets, evenness="targets").collect()}
+    assert even["big"].exponent < 0.01 and even["big"].weight == pytest.approx(0.5, abs=0.01)
+    assert {r.tokens for r in mixing.shares(docs.limit(0), targets, evenness="targets").collect()} == {0}
+
+
+def test_counts_are_weighted_by_frequency(counter, monkeypatch):
+    seen = []
+    c = tokens.Counts(PATH)
+    texts = ["one two two", "two  one", None, "", "zz one"]
+    want = {("a",): [3, counter(texts[0]) + counter(texts[1])], ("b",): [2, counter("zz one")]}
+    monkeypatch.setattr(tokens, "surviving", lambda p, r, f=tokens.surviving: seen.append(p) or f(p, r))
+    assert c.totals([("a",), ("a",), ("a",), ("b",), ("b",)], texts) == want
+    assert len(seen) == len(set(seen)) + 1  # "one" with and without a blank before it; each word once
