@@ -6,9 +6,7 @@ Counting keeps each piece as a linked list of symbols with a priority queue of m
 counts the symbols that survive; words (with the blanks before them) are gathered by slice or
 file, counted once and weighted by their frequency. Encoding cuts texts into content-defined chunks by a
 rolling hash; a chunk's inside is encoded once in each task, and the join of two chunks is
-encoded again from the last place before to the first place after it at which both
-encodings are certain to agree: before white space that follows something else, where no
-piece of the tokenizer can reach across.
+encoded again, piece by piece, until its pieces end where those of the next chunk do.
 
 Defined results: a null or empty text has no tokens: count 0, ids []. Strings that look like
 special tokens are ordinary text.
@@ -228,8 +226,9 @@ def by_shard(raw: DataFrame, shards: DataFrame, path: str | None = None) -> Data
 
 #: Characters of the rolling hash's window, and the bits of the hash that are 1 at a boundary (a chunk has 128 characters on average).
 WINDOW, MASK = 12, np.uint32(0x7F << 20)
-_CUT = re.compile(rf"(?<=[^{SPACE}])(?=[ \t\r\n])")
-_LAST_CUT = re.compile(rf".*(?<=[^{SPACE}])(?=[ \t\r\n])", re.S)
+#: Before white space that follows something else a piece always ends: the first and the last such place of a chunk.
+_CUT = re.compile(rf"[^{SPACE}](?=[ \t\r\n])")
+_LAST_CUT = re.compile(rf".*[^{SPACE}](?=[ \t\r\n])", re.S)
 
 
 def boundaries(text: str) -> list[int]:
@@ -248,56 +247,93 @@ def boundaries(text: str) -> list[int]:
 
 
 class Encoder:
-    """Ids of texts; insides of chunks and joins are remembered up to a bound."""
+    """Ids of texts; insides of chunks and joins are encoded once and remembered up to a bound of characters.
+
+    A chunk is cut into pieces of the tokenizer on its own. Its pieces are those of the text from
+    the first end of a piece on at which the pieces of the text (from the last certain one before
+    the chunk) and of the chunk end together; they are certain up to two characters before the
+    chunk's end, as no piece depends on more of what follows. In between, the join is encoded
+    again. A chunk without such a place only makes the join longer, so that text without blanks
+    is treated like any other. Places after white space aren't used, as white space before other
+    text is split differently from white space at an end.
+    """
 
-    def __init__(self, path: str, keep: int = 150_000) -> None:
+    def __init__(self, path: str, keep: int = 40_000_000) -> None:
         import tiktoken
 
         self.encode = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens={}).encode_ordinary
-        self.keep = keep
-        self.chunks: dict[str, tuple[str, np.ndarray | None, str]] = {}
-        self.joins: dict[str, np.ndarray] = {}
-
-    def _chunk(self, chunk: str) -> tuple[str, np.ndarray | None, str]:
-        """(head, ids of the inside, tail); no inside if the chunk has no certain place."""
-        first = _CUT.search(chunk)
-        if first is None:
-            got = (chunk, None, "")
-        else:
-            a, b = first.start(), _LAST_CUT.match(chunk).end()
-            got = (chunk[:a], np.array(self.encode(chunk[a:b]), dtype=np.int32), chunk[b:])
-        if len(self.chunks) >= self.keep:
-            self.chunks.clear()
-        if len(chunk) < 4_000:
-            self.chunks[chunk] = got
+        self.piece = regex.compile(PATTERN)
+        self.keep, self.held = keep, 0
+        #: Of each chunk: the places where its pieces end, and the last certain one.
+        self.places: dict[str, tuple[frozenset[int], int]] = {}
+        #: Of a join before a chunk: its ids with the chunk's inside, and what is left over.
+        self.joined: dict[tuple[str, str], tuple[np.ndarray | None, str]] = {}
+        self.insides: dict[tuple[str, int], np.ndarray] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.encode(text), dtype=np.int32)
+
+    def _places(self, chunk: str) -> tuple[frozenset[int], int]:
+        got = self.places.get(chunk)
+        if got is None:
+            ends = [m.end() for m in self.piece.finditer(chunk)]
+            sure = [e for e in ends if e <= len(chunk) - 2 and not chunk[e - 1].isspace()]
+            self.places[chunk] = got = frozenset([0, *sure]), max(sure, default=0)
+            self.held += len(chunk) + 400
         return got
 
-    def _join(self, text: str) -> np.ndarray:
-        got = self.joins.get(text)
+    def _inside(self, chunk: str, a: int, b: int) -> np.ndarray:
+        """Ids of a chunk from a place to its last certain one."""
+        got = self.insides.get((chunk, a))
         if got is None:
-            got = np.array(self.encode(text), dtype=np.int32)
-            if len(self.joins) >= self.keep:
-                self.joins.clear()
-            if len(text) < 1_000:
-                self.joins[text] = got
+            self.insides[chunk, a] = got = self._ids(chunk[a:b])
+            self.held += len(chunk) + 200
+        return got
+
+    def _join(self, pending: str, chunk: str) -> tuple[np.ndarray | None, str]:
+        """Ids of pending and the chunk up to its last certain place, and the rest of the chunk; no ids where the two never agree."""
+        got = self.joined.get((pending, chunk))
+        if got is not None:
+            return got
+        both, n = pending + chunk, len(pending)
+        got = None, both
+        cut = _CUT.search(chunk)
+        if cut:
+            first, last = cut.end(), _LAST_CUT.match(chunk).end()
+            got = np.concatenate([self._ids(pending + chunk[:first]), self._inside(chunk, first, last)]), chunk[last:]
+        else:
+            places, last = self._places(chunk)
+            for e in (m.end() - n for m in self.piece.finditer(both)) if last else ():
+                if e > last:
+                    break
+                if e >= 0 and e in places and not both[n + e - 1: n + e].isspace():
+                    got = np.concatenate([self._ids(both[: n + e]), self._inside(chunk, e, last)]), chunk[last:]
+                    break
+        if len(both) < 4_000:
+            self.joined[pending, chunk] = got
+            self.held += n + 300
         return got
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, dtype=np.int32)
+        if self.held > self.keep:
+            self.places.clear()
+            self.joined.clear()
+            self.insides.clear()
+            self.held = 0
         parts: list[np.ndarray] = []
-        pending, at = [], 0
-        known = self.chunks
+        pending, at, known = "", 0, self.joined
         for end in boundaries(text):
             chunk = text[at:end]
             at = end
-            head, ids, tail = known.get(chunk) or self._chunk(chunk)
-            pending.append(head)
+            if len(pending) > 2_000:  # no place for long: what is pending grows without being searched at every chunk
+                pending += chunk
+                continue
+            ids, pending = known.get((pending, chunk)) or self._join(pending, chunk)
             if ids is not None:
-                parts.append(self._join("".join(pending)))
                 parts.append(ids)
-                pending = [tail]
-        parts.append(self._join("".join(pending)))
+        parts.append(self._ids(pending))
         return np.concatenate(parts)
 
 

@@ -277,3 +277,17 @@ def test_counts_are_weighted_by_frequency(counter, monkeypatch):
     monkeypatch.setattr(tokens, "surviving", lambda p, r, f=tokens.surviving: seen.append(p) or f(p, r))
     assert c.totals([("a",), ("a",), ("a",), ("b",), ("b",)], texts) == want
     assert len(seen) == len(set(seen)) + 1  # "one" with and without a blank before it; each word once
+
+
+def test_chunks_without_blanks_are_reused():
+    rng = random.Random(8)
+    shared = "".join(rng.choice("語彙表記録検索統合保存点次確定前古受信、。「」1２a-") for _ in range(3000))
+    e = tokens.Encoder(PATH)
+    one, two = "前置き。" + shared, "別の文書、" + shared + "終わり"
+    assert e(one).tolist() == e.encode(one) and e.insides
+    before = len(e.insides)
+    assert e(two).tolist() == e.encode(two) and len(e.insides) - before <= 3  # only around the different ends
+    tiny = tokens.Encoder(PATH, keep=1)  # forgets before every text
+    assert tiny(two).tolist() == e.encode(two) and tiny(one).tolist() == e.encode(one)
+    for text in ("'" * 400 + "re" * 300, " \n" * 900 + "x", "語" * 5000, "don't " * 300, "a\n\n" * 500, "\r\n\r\n  b" * 200):
+        assert e(text).tolist() == e.encode(text)
