@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -318,31 +320,49 @@ def by_single(words: list[str], habits: Habits, memo: dict) -> dict[str, str]:
 _LOST = re.compile("(?<![\"'`])�|�(?![\"'`])|[\\x80-\\x84\\x86-\\x9f]")
 
 
-def examine(text: str, habits: Habits, utf8: dict, single: dict) -> tuple[bool, str, bool]:
-    """(affected, restored text, whether nothing was lost)."""
+class Finding(NamedTuple):
+    """What examine() says of a text: whether it is affected, its restored text, whether nothing was lost, and how many runs a mapping restored."""
+
+    affected: bool
+    restored: str
+    whole: bool
+    n_restored: int
+
+
+def _edited(text: str, a: int, b: int, edits: list[tuple[int, int, str]]) -> str:
+    """text[a:b] with those of the edits (disjoint, in order) that lie in it."""
+    out = []
+    for k in range(bisect_left(edits, (a,)), len(edits)):
+        start, end, new = edits[k]
+        if start >= b:
+            break
+        out += [text[a:start], new]
+        a = end
+    return "".join(out) + text[a:b]
+
+
+def examine(text: str, habits: Habits, utf8: dict, single: dict) -> Finding:
+    """Mappings are tested inside the improbable runs only, and what they restore is put at the places of those runs."""
     c = classes(f" {text} ")
-    out, at, hit = [], 0, False
-    spoiled: list[str] = []
-    for a, b in runs(text, c, habits.scores(c)):
+    spans = [(a, b) for a, b in runs(text, c, habits.scores(c)) if not text[a:b].isascii()]
+    edits: list[tuple[int, int, str]] = []
+    spoiled: list[tuple[int, int, str]] = []
+    for a, b in spans:
         run = text[a:b]
-        if run.isascii():
-            continue
         new = by_utf8(run, habits, utf8) if "�" not in run else run
         if new == run:
             new = _WORD.sub(lambda m: m[0] if m[0].isascii() else by_utf8(m[0], habits, utf8), run)
-        if new == run:
-            spoiled += [w for w in _WORD.findall(run) if _candidate(w) and habits.odd(w)]
-            continue
-        hit = True
-        out += [text[at:a], new]
-        at = b
-    restored = "".join(out) + text[at:]
-    fixed = by_single(sorted(set(spoiled)), habits, single)
-    if fixed:
-        hit = True
-        restored = re.sub("|".join(sorted(map(re.escape, fixed), key=len, reverse=True)), lambda m: fixed[m[0]], restored)
-    whole = not _LOST.search(restored)
-    return hit or not whole, restored, whole
+        if new != run:
+            edits.append((a, b, new))
+        else:
+            spoiled += [(a + m.start(), a + m.end(), m[0]) for m in _WORD.finditer(run) if _candidate(m[0]) and habits.odd(m[0])]
+    fixed = by_single(sorted({w for _, _, w in spoiled}), habits, single)
+    edits += [(a, b, fixed[w]) for a, b, w in spoiled if w in fixed]
+    edits.sort()
+    restored = _edited(text, 0, len(text), edits)
+    # what no mapping brings back: signs of lost characters in the runs, as they are after the mappings
+    lost = any(_LOST.search(text[max(0, a - 1): a] + _edited(text, a, b, edits) + text[b: b + 1]) for a, b in spans)
+    return Finding(bool(edits) or lost, restored, not lost, len(edits))
 
 
 def _examine_all(codes: np.ndarray, counts: np.ndarray, with_text: bool):
@@ -350,17 +370,18 @@ def _examine_all(codes: np.ndarray, counts: np.ndarray, with_text: bool):
         habits, utf8, single = Habits(codes, counts), {}, {}
 
         def fn(cols: dict[str, list]) -> dict[str, list]:
-            names = ("blob_id", "recovered", *(["restored"] if with_text else []))
+            names = ("blob_id", "recovered", "n_restored", *(["restored"] if with_text else []))
             out: dict[str, list] = {k: [] for k in names}
             for blob, text in zip(cols["blob_id"], cols["content"]):
                 if text is None or text.isascii():
                     continue
-                affected, restored, whole = examine(text, habits, utf8, single)
-                if affected:
+                got = examine(text, habits, utf8, single)
+                if got.affected:
                     out["blob_id"].append(blob)
-                    out["recovered"].append(whole)
+                    out["recovered"].append(got.whole)
+                    out["n_restored"].append(got.n_restored)
                     if with_text:
-                        out["restored"].append(restored)
+                        out["restored"].append(got.restored)
             return out
 
         return fn
@@ -369,12 +390,12 @@ def _examine_all(codes: np.ndarray, counts: np.ndarray, with_text: bool):
 
 
 def repair(raw: DataFrame, with_text: bool = True) -> DataFrame:
-    """blob_id, recovered and restored content of each affected row."""
+    """blob_id, recovered, n_restored (runs that a mapping brought back; 0 where characters are lost and nothing else is wrong) and restored content of each affected row."""
     table = pair_counts(raw).orderBy("code").toArrow()  # bounded by CLASSES squared, not by the corpus
     codes, counts = table["code"].to_numpy(), table["n"].to_numpy()
     return batches(
         raw.select("blob_id", "content").where("content is not null"), _examine_all(codes, counts, with_text),
-        "blob_id string, recovered boolean" + (", restored string" if with_text else ""))
+        "blob_id string, recovered boolean, n_restored int" + (", restored string" if with_text else ""))
 
 
 def found(raw: DataFrame) -> DataFrame:

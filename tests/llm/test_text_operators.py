@@ -146,12 +146,12 @@ def test_inverse_mappings(habits):
     for good in GOOD:
         assert not mojibake.examine(good, habits, {}, {})[0], good
         bad = good.encode().decode("latin-1")
-        assert mojibake.examine(f"# {bad}", habits, {}, {}) == (True, f"# {good}", True), good
+        assert mojibake.examine(f"# {bad}", habits, {}, {})[:3] == (True, f"# {good}", True), good
     bad = GOOD[0].encode("cp1252").decode("cp437")
     assert mojibake.examine(bad, habits, {}, {})[:2] == (True, GOOD[0])
     twice = GOOD[2].encode().decode("latin-1").encode().decode("latin-1")
     assert mojibake.examine(twice, habits, {}, {})[1] == GOOD[2]
-    assert mojibake.examine("ungef�hr 3", habits, {}, {})[::2] == (True, False)
+    assert mojibake.examine("ungef�hr 3", habits, {}, {})[::2] == (True, False) and mojibake.examine("ungef�hr 3", habits, {}, {}).n_restored == 0
     assert not mojibake.examine("x.replace('�', '')  # × ± §", habits, {}, {})[0] and not mojibake.examine("", habits, {}, {})[0]
 
 
@@ -326,3 +326,14 @@ def test_long_lines_and_long_values():
         assert time.process_time() - began < 5, line[:40]  # quadratic patterns take minutes
     long = "".join(random.Random(5).choices("abcdefGHIJKL0123456789", k=3000))
     assert _redacted(f"password = '{long}'")[0] and credentials.hits("password = '" + "Words 12 of a text, and more. " * 20 + "'", AUTOMATON) == []
+
+
+def test_repairs_stay_in_their_runs(habits):
+    bad = "Prüfläufe".encode().decode("cp1252")
+    text = f"x{bad}y = 1  # the name {bad} is meant\n{GOOD[0]}\n"
+    got = mojibake.examine(text, habits, {}, {})
+    assert got.affected and got.restored.endswith(GOOD[0] + "\n") and len(got.restored.split("\n")) == 3
+    word = GOOD[0].encode("cp1252").decode("cp437")
+    got = mojibake.examine(f"{GOOD[1]}\n{word}\n", habits, {}, {})
+    assert got[:3] == (True, f"{GOOD[1]}\n{GOOD[0]}\n", True) and got.n_restored > 0
+    assert mojibake._edited("abcdef", 1, 5, [(0, 1, "X"), (2, 3, "YY"), (5, 6, "Z")]) == "bYYde"
