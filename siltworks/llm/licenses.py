@@ -1,13 +1,18 @@
 """Problem 3: the license of each file and repository, by a Bayesian network over its evidence.
 
 The network has one hidden variable for each file, the license that applies (the known
-licenses and "none"), and observed children: every notice in the file's leading comment, the
-licenses its repository's license files offer, and what a scanner detected. Each kind of
-evidence has a reliability prior; the posterior is exact, since the hidden variable has as
-many states as there are known licenses. A file contradicts itself when even the license
-that explains most of its evidence leaves a notice (or the repository's offer) unexplained:
-the odds that all of it is right are then below those that a reliable statement is false.
-A file is unknown when the posterior of "none" is not below that of all licenses together.
+licenses and "none"), one for each piece of evidence, whether it is reliable, and observed
+children: every notice in the file's leading comment, the licenses its repository's license
+files offer, what a scanner detected, and what manifests and the readme in the repository's
+top directory say. Reliabilities have a prior for each kind of evidence. A reliable statement
+names the license that applies; an unreliable one names any. The posterior is exact, since
+the hidden license has as many states as there are known licenses and the rest factors.
+
+Two firm statements (notices, or a notice and the offer) contradict each other when the
+posterior that both are reliable is below a half; a file's contradiction is the largest of
+its pairs, and a conflict one above a half. A file is unknown when, of notices, offer and
+scanner alone, the posterior of "none" is not below that of all licenses together: manifests
+and readme help to tell which license applies, but don't make a file known by themselves.
 
 Defined results: null or empty content has no notice; a null repo_name gets no offers and
 no row of its own; redelivered rows count once; a table without rows gives no rows.
@@ -16,6 +21,7 @@ no row of its own; redelivered rows count once; a table without rows gives no ro
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +31,9 @@ from siltworks.llm.common import batches, leading_comment
 NONE = "none"
 
 #: How likely a statement of each kind names the license that applies.
-RELIABILITY = {"notice": 0.98, "file": 0.95, "scanner": 0.70}
+RELIABILITY = {"notice": 0.98, "file": 0.95, "scanner": 0.70, "manifest": 0.85, "readme": 0.75}
+#: A posterior below this is of low confidence.
+CONFIDENT = 0.6
 
 #: Prior of "none"; the known licenses share the rest.
 PRIOR_NONE = 0.6
@@ -37,6 +45,11 @@ _CUE = re.compile(
 _DENIED = re.compile(r"\b(?:not|never|no longer|formerly|unlike|instead of|compatible with|relicens\w+ from)\b[^.;]{0,40}$", re.I)
 _LICENSE_FILE = re.compile(r"(?:licen[sc]e|copying)[^/]*\Z", re.I | re.S)
 
+#: Manifests in a repository's top directory, by name: where they state the license.
+_MANIFEST = re.compile(r"(?:package|composer|bower)\.json\Z|(?:cargo|pyproject)\.toml\Z|setup\.(?:cfg|py)\Z|pom\.xml\Z|[^/]+\.(?:gemspec|nuspec|cabal)\Z", re.I)
+_MANIFEST_LINE = re.compile(r"\blicen[sc]es?\b|<name>", re.I)
+_README = re.compile(r"readme(?:\.[^/]*)?\Z", re.I)
+
 _V = r"[\s,\-_]*(?:v(?:ersion)?\.?\s*)?"
 _LATER = r"(?:\s*\+|[\s,\-]*(?:or|and|oder|ou)[\s\-]+(?:\(?at your option\)?[\s,]*)?(?:any\s+)?(?:later|newer)(?:\s+(?:version|one))?)"
 _ONLY = r"(?:[\s,\-]*(?:only|and no other))?"
@@ -92,30 +105,56 @@ class Names:
         return sorted({i for line in re.split(r"[\r\n]+", text) for a, i in self.found(line) if not _DENIED.search(line[:a])})
 
 
-def posterior(ids: list[str], notices: list[list[str]], offers: list[str], scanned: list[str]) -> tuple[str, float, bool]:
-    """(license, its posterior, contradiction) of one file, exactly.
+Evidence = tuple[str, frozenset[str]]
 
-    The states are the known licenses and "none"; the children are independent given the state.
-    """
-    evidence = [("notice", set(n)) for n in notices] + ([("file", set(offers))] if offers else []) + ([("scanner", set(scanned))] if scanned else [])
+
+def beliefs(ids: list[str], evidence: list[Evidence]) -> dict[str, float]:
+    """Posterior of each known license and of "none", given pieces of evidence (kind, licenses named)."""
     size = max(1, len(ids))
-    if not evidence:
-        return NONE, PRIOR_NONE, False
-    belief = {NONE: PRIOR_NONE}
-    for kind, named in evidence:
-        belief[NONE] *= (1 - RELIABILITY[kind]) / size
-    for i in ids:
-        p = (1 - PRIOR_NONE) / size
+    raw = {}
+    for i in (NONE, *ids):
+        p = PRIOR_NONE if i == NONE else (1 - PRIOR_NONE) / size
         for kind, named in evidence:
             r = RELIABILITY[kind]
-            p *= r / len(named) if i in named else (1 - r) / size
-        belief[i] = p
-    total = sum(belief.values())
+            p *= (1 - r) / size + (r / len(named) if i in named else 0.0)
+        raw[i] = p
+    total = sum(raw.values())
+    return {i: p / total for i, p in raw.items()}
+
+
+def contradiction(ids: list[str], a: Evidence, b: Evidence) -> float:
+    """Posterior that at least one of two statements is unreliable."""
+    size = max(1, len(ids))
+    both = every = 0.0
+    for i in (NONE, *ids):
+        p = PRIOR_NONE if i == NONE else (1 - PRIOR_NONE) / size
+        true = [RELIABILITY[k] / len(named) if i in named else 0.0 for k, named in (a, b)]
+        false = [(1 - RELIABILITY[k]) / size for k, _ in (a, b)]
+        both += p * true[0] * true[1]
+        every += p * (true[0] + false[0]) * (true[1] + false[1])
+    return 1 - both / every
+
+
+class Verdict(NamedTuple):
+    """The license that applies, its posterior, the largest contradiction, and whether no license is known."""
+
+    license: str
+    posterior: float
+    contradiction: float
+    unknown: bool
+
+
+def posterior(ids: list[str], notices: list[list[str]], offers: list[str], scanned: list[str], manifest: list[str] = (), readme: list[str] = ()) -> Verdict:
+    """What the network says of one file, exactly."""
+    firm: list[Evidence] = [("notice", frozenset(n)) for n in notices] + ([("file", frozenset(offers))] if offers else [])
+    stated = firm + ([("scanner", frozenset(scanned))] if scanned else [])
+    more: list[Evidence] = [(k, frozenset(v)) for k, v in (("manifest", manifest), ("readme", readme)) if v]
     # unknown or not is decided first: a statement of several licenses divides among them, but speaks against "none" as a whole
-    best = NONE if 2 * belief[NONE] >= total else max(sorted(ids), key=lambda i: belief[i])
-    # All firm statements hold together only if some choice of states explains every pair of notices and the offer.
-    clash = any(not set(a) & set(b) for k, a in enumerate(notices) for b in notices[k + 1:]) or bool(offers) and any(not set(n) & set(offers) for n in notices)
-    return best, belief[best] / total, clash
+    unknown = 2 * beliefs(ids, stated)[NONE] >= 1
+    every = beliefs(ids, stated + more)
+    best = NONE if 2 * every[NONE] >= 1 else max(sorted(ids), key=lambda i: every[i])
+    clash = max((contradiction(ids, x, y) for k, x in enumerate(firm) for y in firm[k + 1:]), default=0.0)
+    return Verdict(best, every[best], clash, unknown)
 
 
 def _evidence(spellings: list[tuple[str, str]]):
@@ -123,22 +162,25 @@ def _evidence(spellings: list[tuple[str, str]]):
         names = Names(spellings)
 
         def fn(c: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {k: [] for k in ("blob_id", "repo_name", "notices", "offers", "scanned", "license_file")}
+            out: dict[str, list] = {k: [] for k in ("blob_id", "repo_name", "notices", "scanned", "says", "named")}
             for blob, repo, path, found, text in zip(c["blob_id"], c["repo_name"], c["path"], c["detected_licenses"], c["content"]):
-                text = text or ""
-                own = _LICENSE_FILE.match(path or "") is not None
-                if own:
-                    named = names.file_names(text)
+                text, path = text or "", path or ""
+                says, named = None, []
+                if _LICENSE_FILE.match(path):
+                    says, named = "file", names.file_names(text)
                     notices = [named] if named else []
                 else:
-                    named = []
                     notices = [n for n in map(names.statement, leading_comment(text)) if n]
+                    if "/" not in path and _MANIFEST.match(path):
+                        says, named = "manifest", sorted({i for line in text.split("\n") if _MANIFEST_LINE.search(line) for _, i in names.found(line)})
+                    elif "/" not in path and _README.match(path):
+                        says, named = "readme", sorted({i for line in text.split("\n") for i in names.statement(line)})
                 out["blob_id"].append(blob)
                 out["repo_name"].append(repo)
                 out["notices"].append(notices)
-                out["offers"].append(named)
                 out["scanned"].append(sorted({i for d in found or [] if (i := names.exact(d))}))
-                out["license_file"].append(own)
+                out["says"].append(says if named else None)
+                out["named"].append(named)
             return out
 
         return fn
@@ -151,16 +193,17 @@ def _fuse(ids: list[str]):
         seen: dict = {}
 
         def fn(c: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {k: [] for k in ("blob_id", "repo_name", "license", "posterior", "conflict", "unknown")}
-            for blob, repo, notices, offers, scanned in zip(c["blob_id"], c["repo_name"], c["notices"], c["repo_offers"], c["scanned"]):
-                key = (tuple(map(tuple, notices or [])), tuple(offers or []), tuple(scanned or []))
-                if key not in seen:
+            out: dict[str, list] = {k: [] for k in ("blob_id", "repo_name", "license", "posterior", "contradiction", "confident", "conflict", "unknown")}
+            for blob, repo, notices, scanned, *repos in zip(*[c[k] for k in ("blob_id", "repo_name", "notices", "scanned", "file", "manifest", "readme")]):
+                key = (tuple(sorted(map(tuple, notices or []))), tuple(scanned or []), *(tuple(r or []) for r in repos))
+                v = seen.get(key)
+                if v is None:
                     if len(seen) > 50_000:
                         seen.clear()
-                    seen[key] = posterior(ids, [list(n) for n in key[0]], list(key[1]), list(key[2]))
-                best, p, clash = seen[key]
-                for k, v in (("blob_id", blob), ("repo_name", repo), ("license", best), ("posterior", float(p)), ("conflict", clash), ("unknown", best == NONE)):
-                    out[k].append(v)
+                    # the same statement more than once says no more than once
+                    seen[key] = v = posterior(ids, [list(n) for n in dict.fromkeys(key[0])], list(key[2]), list(key[1]), list(key[3]), list(key[4]))
+                for k, x in (("blob_id", blob), ("repo_name", repo), ("license", v.license), ("posterior", v.posterior), ("contradiction", v.contradiction), ("confident", v.posterior >= CONFIDENT), ("conflict", v.contradiction > 0.5), ("unknown", v.unknown)):
+                    out[k].append(x)
             return out
 
         return fn
@@ -173,30 +216,38 @@ def known_names(names: DataFrame) -> list[tuple[str, str]]:
     return sorted((r.spelling, r.spdx_id) for r in names.select("spelling", "spdx_id").dropna().collect())
 
 
+#: A repository's evidence meets its files in so many parts, as one repository may have a third of them.
+PARTS = 16
+
+
 def file_licenses(raw: DataFrame, names: DataFrame) -> DataFrame:
-    """blob_id, repo_name, license, posterior, conflict and unknown of each file.
+    """blob_id, repo_name, license, posterior, contradiction, confident, conflict and unknown of each file.
 
-    One Python pass reads whole contents and leaves only short sets; the offers of a repository
-    (at most as many ids as licenses are known) are aggregated before they meet its files.
+    One Python pass reads whole contents and leaves only short sets; what a repository's license
+    files, manifests and readme name (at most as many ids as licenses are known) is aggregated
+    before it meets its files. Redelivered files are one: what scanners said of them is united.
     """
     spelled = known_names(names)
     ids = sorted({i for _, i in spelled})
     ev = batches(
         raw.select("blob_id", "repo_name", "path", "detected_licenses", "content"),
         _evidence(spelled),
-        "blob_id string, repo_name string, notices array<array<string>>, offers array<string>, scanned array<string>, license_file boolean",
+        "blob_id string, repo_name string, notices array<array<string>>, scanned array<string>, says string, named array<string>",
     )
-    ev = ev.where("blob_id is not null").dropDuplicates(["blob_id", "repo_name"])
+    united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
+    ev = ev.where("blob_id is not null").groupBy("blob_id", "repo_name").agg(F.max("notices").alias("notices"), united("scanned").alias("scanned"), F.max(F.struct("says", "named")).alias("own"))
     offers = (
-        ev.where(F.size("offers") > 0).where("repo_name is not null")
-        .select(F.col("repo_name").alias("offer_repo"), F.explode("offers").alias("id"))
-        .groupBy("offer_repo").agg(F.array_sort(F.collect_set("id")).alias("repo_offers"))
+        ev.where("own.says is not null and repo_name is not null")
+        .select(F.col("repo_name").alias("offer_repo"), F.col("own.says").alias("says"), F.explode("own.named").alias("id"))
+        .groupBy("offer_repo").agg(*[F.array_sort(F.collect_set(F.when(F.col("says") == k, F.col("id")))).alias(k) for k in ("file", "manifest", "readme")])
+        .withColumn("offer_part", F.explode(F.array(*map(F.lit, range(PARTS)))))
     )
-    joined = ev.join(offers, ev.repo_name == offers.offer_repo, "left")
+    ev = ev.withColumn("part", F.pmod(F.xxhash64("blob_id"), F.lit(PARTS)).cast("int"))
+    joined = ev.join(offers, (ev.repo_name == offers.offer_repo) & (ev.part == offers.offer_part), "left")
     return batches(
-        joined.select("blob_id", "repo_name", "notices", "scanned", "repo_offers"),
+        joined.select("blob_id", "repo_name", "notices", "scanned", "file", "manifest", "readme"),
         _fuse(ids),
-        "blob_id string, repo_name string, license string, posterior double, conflict boolean, unknown boolean",
+        "blob_id string, repo_name string, license string, posterior double, contradiction double, confident boolean, conflict boolean, unknown boolean",
     )
 
 

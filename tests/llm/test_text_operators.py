@@ -46,12 +46,63 @@ def test_wordings():
     assert n.statement("") == [] and n.exact(" mit license ") == "MIT" and n.exact(None) is None
 
 
+def _brute(ids, evidence):
+    """Posterior over (license, reliability of each statement), by enumeration: P(license), P(all reliable)."""
+    import itertools
+
+    joint = {}
+    for i in ("none", *ids):
+        for rel in itertools.product((True, False), repeat=len(evidence)):
+            p = licenses.PRIOR_NONE if i == "none" else (1 - licenses.PRIOR_NONE) / len(ids)
+            for r, (kind, named) in zip(rel, evidence):
+                q = licenses.RELIABILITY[kind]
+                p *= q * (1 / len(named) if i in named else 0) if r else (1 - q) / len(ids)
+            joint[i, rel] = p
+    total = sum(joint.values())
+    by = {i: sum(v for (k, _), v in joint.items() if k == i) / total for i in ("none", *ids)}
+    return by, sum(v for (_, rel), v in joint.items() if all(rel)) / total
+
+
 def test_posterior_is_bayes():
     ids = ["A", "B", "C"]
-    best, p, clash = licenses.posterior(ids, [["A"]], ["A", "B"], [])
-    assert best == "A" and p > 0.9 and not clash
-    assert licenses.posterior(ids, [["A"]], ["B"], [])[2] and licenses.posterior(ids, [["A"], ["B"]], [], [])[2] and not licenses.posterior(ids, [["A", "B"], ["B"]], [], [])[2]
-    assert licenses.posterior(ids, [], [], []) == ("none", licenses.PRIOR_NONE, False) and licenses.posterior(ids, [], [], ["C"])[0] == "C"
+    for ev in ([("notice", {"A"})], [("notice", {"A"}), ("file", {"B", "C"})], [("notice", {"A", "B"}), ("scanner", {"B"}), ("readme", {"C"})], [("manifest", {"C"})], []):
+        want, _ = _brute(ids, ev)
+        assert licenses.beliefs(ids, ev) == pytest.approx(want)
+    for a, b in ((("notice", {"A"}), ("notice", {"B"})), (("notice", {"A"}), ("file", {"A", "B", "C"})), (("notice", {"A", "B"}), ("notice", {"B", "C"}))):
+        assert licenses.contradiction(ids, a, b) == pytest.approx(1 - _brute(ids, [a, b])[1])
+    best = licenses.posterior(ids, [["A"]], ["A", "B"], [])
+    assert best.license == "A" and best.posterior > 0.9 and best.contradiction < 0.2 and not best.unknown
+    clash = lambda *a: licenses.posterior(ids, *a).contradiction > 0.5
+    assert clash([["A"]], ["B"], []) and clash([["A"], ["B"]], [], []) and not clash([["A", "B"], ["B"]], [], []) and not clash([["A", "B"], ["B", "C"], ["A", "C"]], [], [])
+    many = [f"L{k:02d}" for k in range(12)]
+    assert licenses.posterior(many, [["L00"]], many, []).contradiction < 0.5
+    assert licenses.posterior(ids, [], [], []) == ("none", licenses.PRIOR_NONE, 0.0, True) and licenses.posterior(ids, [], [], ["C"])[0] == "C"
+    # manifests and readme name a license, but the file stays unknown; they tip the balance between choices
+    m = licenses.posterior(ids, [], [], [], ["B"])
+    assert m.license == "B" and m.unknown and licenses.posterior(ids, [["A", "C"]], [], [], [], ["C"]).license == "C"
+
+
+def test_conflicts_come_from_the_network(files, rows, monkeypatch):
+    names = rows("spelling string, spdx_id string", NAMES)
+    raw = files([("f1", "r", "a.py", "# License: MIT\n# License: Apache-2.0\nx")])
+    assert {tuple(r) for r in licenses.findings(raw, names).collect()} == {("f1", "conflict"), ("r", "conflict")}
+    # statements that may well be wrong don't contradict each other enough
+    both = (("scanner", frozenset("A")), ("scanner", frozenset("AB")))
+    monkeypatch.setitem(licenses.RELIABILITY, "scanner", 0.05)
+    assert licenses.contradiction(["A", "B"], *both) > 0.5
+    monkeypatch.setitem(licenses.RELIABILITY, "scanner", 0.99)
+    assert licenses.contradiction(["A", "B"], *both) < 0.05
+
+
+def test_manifests_readmes_and_redeliveries(files, rows):
+    names = rows("spelling string, spdx_id string", NAMES)
+    raw = files([
+        ("p", "r1", "package.json", '{"name": "x",\n "license": "MIT"}'), ("a", "r1", "src/a.js", "let a"), ("q", "r2", "README.md", "# x\nReleased under the Apache-2.0 license.\n"), ("b", "r2", "b.js", "let b"),
+        ("n", "r3", "lib/package.json", '{"license": "MIT"}'), ("c", "r3", "c.js", "x", ["??"]), ("c", "r3", "c.js", "x", ["mit"]), ("c", "r3", "c.js", "x", ["Apache-2.0"]),
+    ])
+    got = {r.blob_id: r for r in licenses.file_licenses(raw, names).collect()}
+    assert got["a"].license == "MIT" and got["a"].unknown and got["b"].license == "Apache-2.0" and got["b"].unknown
+    assert not got["c"].unknown and got["c"].license in ("MIT", "Apache-2.0") and len(got) == 6 and got["n"].license == "none"
 
 
 def test_license_findings(files, rows):
@@ -233,8 +284,8 @@ def test_keywords_pass_what_the_rules_match():
 def test_several_detected_licenses_are_known():
     ids = [f"L{k:02d}" for k in range(12)]
     for n in (1, 2, 3, 12):
-        best, p, clash = licenses.posterior(ids, [], [], ids[:n])
-        assert best == "L00" and 0 < p < 1 and not clash, n
+        best, p, clash, unknown = licenses.posterior(ids, [], [], ids[:n])
+        assert best == "L00" and 0 < p < 1 and not clash and not unknown, n
     assert licenses.posterior(ids, [], [], [])[0] == "none"
 
 
