@@ -1,11 +1,17 @@
 """Problem 4: generated, minified, vendored and blob files, by belief propagation over directory trees.
 
-Each file is a leaf with one of five labels; its factor comes from content and path. Each
-directory is a variable with the same labels ("what kind of place is this"), tied to its
-files and to its parent by a compatibility matrix. The graph of a repository is a tree, so
-one upward and one downward sweep are exact. A sweep is one aggregation and one join for
-each depth, over directories only: messages are sums of logarithms, summed map-side before
-they are shuffled, so a repository with a third of all files is not a hot task.
+Each file is a leaf with one of five labels; its factor says how likely its content and name
+are under each label. A third-party file looks like a hand-written one, so that mostly the
+place decides: each directory is a variable with the same labels and one more, a store of
+third-party copies, which only directories with such a name in their path can be and then
+are. Compatibilities tie files to their directory and directories to their parent; a
+hand-written parent speaks for hand-written children, a store for third-party ones, and
+siblings with marks of a tool for a file whose name alone hints at one. The graph of a
+repository is a tree, so one upward and one downward sweep are exact. A sweep is one
+aggregation and one join for each depth, over directories only: messages are sums of
+logarithms, summed map-side before they are shuffled, so a repository with a third of all
+files is not a hot task. Directories below LEVELS count as their ancestor of that level, which
+bounds the number of sweeps whatever paths there are.
 
 Defined results: null or empty content gives a flat factor (the path still counts); a null
 path is the root directory; a null repo_name is a repository of its own for each file;
@@ -14,7 +20,9 @@ redelivered rows count once; the flags is_vendor and is_generated are weak evide
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +32,32 @@ from siltworks.session import ensure_checkpoint_dir
 
 LABELS = ("handwritten", "generated", "minified", "vendored", "blob")
 
-#: Tie of a file's label to its directory's, and of a directory's to its parent's: the share of belief that stays.
-STAY_FILE, STAY_DIR = 0.55, 0.50
+#: Labels of directories, and the depth below which they aren't told apart.
+PLACES = (*LABELS, "store")
+LEVELS = 16
+#: Compatibility of a file's label (columns) with its directory's (rows).
+FILE_IN = (
+    (0.80, 0.05, 0.05, 0.05, 0.05),
+    (0.15, 0.75, 0.03, 0.04, 0.03),
+    (0.15, 0.03, 0.75, 0.04, 0.03),
+    (0.40, 0.03, 0.04, 0.50, 0.03),
+    (0.20, 0.04, 0.03, 0.03, 0.70),
+    (0.01, 0.01, 0.01, 0.96, 0.01),
+)
+#: Compatibility of a directory's label (columns) with its parent's (rows), and the prior of a repository's top directory.
+DIR_IN = (
+    (0.80, 0.04, 0.04, 0.06, 0.04, 0.02),
+    (0.36, 0.54, 0.02, 0.04, 0.02, 0.02),
+    (0.36, 0.02, 0.54, 0.04, 0.02, 0.02),
+    (0.36, 0.02, 0.04, 0.54, 0.02, 0.02),
+    (0.36, 0.02, 0.02, 0.04, 0.54, 0.02),
+    (0.02, 0.02, 0.02, 0.02, 0.02, 0.90),
+)
+TOP = (0.90, 0.02, 0.02, 0.03, 0.02, 0.01)
+#: Log-likelihood of a file without any mark under each label: tools leave marks, third-party copies hardly.
+UNMARKED = (0.0, -2.5, -2.5, -0.7, -2.5)
+#: Log-factor of what can't be.
+NEVER = -1e9
 
 _VENDOR_DIRS = frozenset(
     "node_modules bower_components jspm_packages vendor vendors third_party third-party thirdparty 3rdparty 3rd_party 3rd-party external externals extern deps contrib site-packages".split()
@@ -61,9 +93,8 @@ _CODE_EXT = frozenset("js mjs cjs ts jsx tsx css py rb php go rs c h cc cpp hpp
 
 
 def evidence(path: str | None, text: str | None, is_vendor: bool | None, is_generated: bool | None) -> list[float]:
-    """Log-factors of the five labels for one file."""
-    w = dict.fromkeys(LABELS, 0.0)
-    w["handwritten"] = 2.5
+    """Log-likelihoods of a file's content and name under the five labels; its directories are the tree's matter."""
+    w = dict(zip(LABELS, UNMARKED))
     if is_generated:
         w["generated"] += 0.3
     if is_vendor:
@@ -75,8 +106,6 @@ def evidence(path: str | None, text: str | None, is_vendor: bool | None, is_gene
     if _LICENSE.match(base):
         w["handwritten"] += 12
         return [w[k] for k in LABELS]
-    if any(p in _VENDOR_DIRS for p in parts[:-1]):
-        w["vendored"] += 7
     if base in _LOCKS or base.endswith((".js.map", ".css.map", ".mjs.map")):
         w["generated"] += 9
     if _GEN_PATH.search(base):
@@ -84,7 +113,6 @@ def evidence(path: str | None, text: str | None, is_vendor: bool | None, is_gene
     if _MIN_PATH.search(base):
         w["minified"] += 1.5
     if not text or not text.strip():
-        w["handwritten"] += 4
         return [w[k] for k in LABELS]
     head = leading_comment(text)
     for line in head:
@@ -121,71 +149,101 @@ def evidence(path: str | None, text: str | None, is_vendor: bool | None, is_gene
     return [w[k] for k in LABELS]
 
 
+def place(path: str | None) -> tuple[str, bool]:
+    """(directory of the tree, whether it is a store of third-party copies) of a file."""
+    parts = (path or "").split("/")[:-1]
+    store = [k for k, p in enumerate(parts) if p.lower() in _VENDOR_DIRS]
+    if len(parts) > LEVELS:  # a store below the last level keeps a directory of its own
+        parts = parts[:LEVELS] + ([parts[store[0]]] if store and store[0] >= LEVELS else [])
+    return "/".join(parts), bool(store)
+
+
 def _leaves():
     def fn(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("blob_id", "repo", "dir", "log_factor")}
+        out: dict[str, list] = {k: [] for k in ("blob_id", "repo", "dir", "log_factor", "sent")}
         for blob, repo, path, v, g, text in zip(c["blob_id"], c["repo_name"], c["path"], c["is_vendor"], c["is_generated"], c["content"]):
             out["blob_id"].append(blob)
             out["repo"].append(f"r:{repo}" if repo is not None else f"b:{blob}")
-            out["dir"].append((path or "").rpartition("/")[0])
-            out["log_factor"].append(evidence(path, text, v, g))
+            out["dir"].append(place(path)[0])
+            own = evidence(path, text, v, g)
+            out["log_factor"].append(own)
+            mass = [math.exp(x) for x in own]
+            out["sent"].append([math.log(sum(m * x for m, x in zip(row, mass))) for row in FILE_IN])
         return out
 
     return fn
 
 
-def _message(logs: Column, stay: float) -> Column:
-    """The message a node with these log-beliefs sends along an edge that keeps the label with probability stay."""
-    other = (1 - stay) / (len(LABELS) - 1)
-    top = F.array_max(logs)
-    total = F.aggregate(logs, F.lit(0.0), lambda t, x: t + F.exp(x - top))
-    return F.transform(logs, lambda x: F.log(F.lit(stay - other) * F.exp(x - top) / total + F.lit(other)))
+def _message(logs: Column, matrix: tuple[tuple[float, ...], ...], n: int) -> Column:
+    """Logs of the n sums that a vector of logs has with the rows of a matrix: plain arithmetic, so that it is compiled and common parts are evaluated once."""
+    x = [logs[j] for j in range(len(matrix[0]))]
+    top = F.greatest(*x)
+    mass = [F.exp(v - top) for v in x]
+    return F.array(*[F.log(reduce(lambda a, b: a + b, [F.lit(matrix[k][j]) * mass[j] for j in range(len(x))])) for k in range(n)])
+
+
+def _turned(matrix: tuple[tuple[float, ...], ...]) -> tuple[tuple[float, ...], ...]:
+    return tuple(zip(*matrix))
+
+
+def _down_to_file(logs: Column) -> Column:
+    return _message(logs, _turned(FILE_IN), len(LABELS))
+
+
+def _up_from_dir(logs: Column) -> Column:
+    return _message(logs, DIR_IN, len(PLACES))
+
+
+def _down_to_dir(logs: Column) -> Column:
+    return _message(logs, _turned(DIR_IN), len(PLACES))
 
 
-def _plus(a: Column, b: Column, sign: int = 1) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + sign * y)
+def _plus(a: Column, b: Column, sign: int = 1, n: int = len(PLACES)) -> Column:
+    return F.array(*[a[k] + sign * b[k] for k in range(n)])
 
 
 def _summed(c: str) -> Column:
     """Element-wise sum of an array of logs, so that it is summed map-side."""
-    return F.array(*[F.sum(F.col(c)[k]) for k in range(len(LABELS))])
+    return F.array(*[F.sum(F.col(c)[k]) for k in range(len(PLACES))])
 
 
 def classify(raw: DataFrame) -> DataFrame:
-    """blob_id, label and belief of each file (one row for each blob_id and repository)."""
+    """blob_id, repo, label and belief of each file (one row for each blob_id and repository), and alone, the label of its own factor."""
     ensure_checkpoint_dir(raw.sparkSession)
-    flat = F.array(*[F.lit(0.0)] * len(LABELS))
+    lits = lambda v: F.array(*[F.lit(float(x)) for x in v])
+    flat = lits([0] * len(PLACES))
     leaf = batches(
         raw.select("blob_id", "repo_name", "path", "is_vendor", "is_generated", "content"),
         _leaves,
-        "blob_id string, repo string, dir string, log_factor array<double>",
+        "blob_id string, repo string, dir string, log_factor array<double>, sent array<double>",
     ).where("blob_id is not null")
     # Redeliveries share content and path; only the flags may differ, and the larger factor is kept.
-    leaf = leaf.groupBy("blob_id", "repo").agg(F.max_by("dir", "log_factor").alias("dir"), F.max("log_factor").alias("log_factor"))
-    leaf = leaf.withColumn("sent", _message(F.col("log_factor"), STAY_FILE)).checkpoint()
+    leaf = leaf.groupBy("blob_id", "repo").agg(F.max(F.struct("log_factor", "dir", "sent")).alias("m")).select("blob_id", "repo", "m.dir", "m.log_factor", "m.sent").checkpoint()
     own = leaf.groupBy("repo", "dir").agg(_summed("sent").alias("own"))
     # Every directory with its ancestors; depth 0 is the root.
     steps = F.split("dir", "/")
     chain = F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(
         F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))))
+    named = F.exists(F.split(F.lower("node"), "/"), lambda p: p.isin(*sorted(_VENDOR_DIRS)))
+    prior = F.when(F.col("node") == "", lits(map(math.log, TOP))).otherwise(flat)
     dirs = (
         own.select("repo", F.explode(chain).alias("node"), "dir", "own")
         .groupBy("repo", "node").agg(F.max(F.when(F.col("node") == F.col("dir"), F.col("own"))).alias("own"))
         .select(
-            "repo", "node", F.coalesce("own", flat).alias("own"),
+            "repo", "node", _plus(_plus(F.coalesce("own", flat), prior), F.when(named, lits([NEVER] * len(LABELS) + [0])).otherwise(lits([0] * len(LABELS) + [NEVER]))).alias("own"),
             F.when(F.col("node") == "", 0).otherwise(F.size(F.split("node", "/"))).alias("depth"),
             F.when(F.col("node").contains("/"), F.regexp_replace("node", r"/[^/]*\z", "")).otherwise("").alias("parent"),
         ).checkpoint()
     )
-    depth = dirs.agg(F.max("depth")).first()[0] or 0
+    depth = dirs.agg(F.max("depth")).first()[0] or 0  # at most LEVELS + 1
     # Upward: a directory hears from its files and its subdirectories.
-    level = dirs.where(F.col("depth") == depth).withColumn("up", F.col("own")).withColumn("sent", _message(F.col("up"), STAY_DIR))
+    level = dirs.where(F.col("depth") == depth).withColumn("up", F.col("own")).withColumn("sent", _up_from_dir(F.col("up")))
     levels = [level]
     for d in range(depth - 1, -1, -1):
         got = level.groupBy("repo", F.col("parent").alias("node")).agg(_summed("sent").alias("below"))
         level = dirs.where(F.col("depth") == d).join(got, ["repo", "node"], "left")
         level = level.withColumn("up", _plus(F.col("own"), F.coalesce("below", flat))).drop("below")
-        level = level.withColumn("sent", _message(F.col("up"), STAY_DIR)).checkpoint()
+        level = level.withColumn("sent", _up_from_dir(F.col("up"))).checkpoint()
         levels.append(level)
     # Downward: a directory hears from its parent, without what it said itself.
     belief = levels[-1].select("repo", "node", F.col("up").alias("belief"))
@@ -193,17 +251,17 @@ def classify(raw: DataFrame) -> DataFrame:
     for level in reversed(levels[:-1]):
         above = belief.select("repo", F.col("node").alias("parent"), F.col("belief").alias("above"))
         belief = level.join(above, ["repo", "parent"]).withColumn("rest", _plus(F.col("above"), F.col("sent"), -1))
-        belief = belief.select("repo", "node", _plus(F.col("up"), _message(F.col("rest"), STAY_DIR)).alias("belief")).checkpoint()
+        belief = belief.select("repo", "node", _plus(F.col("up"), _down_to_dir(F.col("rest"))).alias("belief")).checkpoint()
         parts.append(belief)
     beliefs = parts[0]
     for p in parts[1:]:
         beliefs = beliefs.unionByName(p)
     files = leaf.join(beliefs.withColumnRenamed("node", "dir"), ["repo", "dir"])
     files = files.withColumn("rest", _plus(F.col("belief"), F.col("sent"), -1))
-    files = files.select("blob_id", "repo", _plus(F.col("log_factor"), _message(F.col("rest"), STAY_FILE)).alias("final"))
-    at = F.array_position("final", F.array_max("final")).cast("int")
-    norm = F.aggregate("final", F.lit(0.0), lambda t, x: t + F.exp(x - F.array_max("final")))
-    return files.select("blob_id", "repo", F.element_at(F.array(*map(F.lit, LABELS)), at).alias("label"), (F.lit(1.0) / norm).alias("belief"))
+    files = files.select("blob_id", "repo", "log_factor", _plus(F.col("log_factor"), _down_to_file(F.col("rest")), n=len(LABELS)).alias("final"))
+    best = lambda c: F.element_at(F.array(*map(F.lit, LABELS)), F.array_position(c, F.array_max(c)).cast("int"))
+    norm = reduce(lambda a, b: a + b, [F.exp(F.col("final")[k] - F.array_max("final")) for k in range(len(LABELS))])
+    return files.select("blob_id", "repo", best("final").alias("label"), (F.lit(1.0) / norm).alias("belief"), best("log_factor").alias("alone"))
 
 
 def found(raw: DataFrame) -> DataFrame:

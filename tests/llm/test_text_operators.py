@@ -126,7 +126,7 @@ def test_evidence():
     assert label("a.go", "// Code generated by toolx v1.2. DO NOT EDIT.\npackage a\n") == "generated"
     assert label("a.go", "package a\n// the template writes DO NOT EDIT into each file\n") == "handwritten"
     assert label("a.c", '#include <x.h>\n#define B "Code generated by toolx; DO NOT EDIT."\n') == "handwritten"
-    assert label("x/vendor/y/a.js", "let a = 1\n") == "vendored" and label("vendor_portal/a.js", "let a = 1\n") == "handwritten"
+    assert handwritten.place("x/Vendor/y/a.js") == ("x/Vendor/y", True) and handwritten.place("vendor_portal/a.js") == ("vendor_portal", False) and handwritten.place(None) == ("", False)
     assert label("lib/foo.js", "// foo 1.2.3 - upstream: https://example.org/foo\nlet a\n") == "vendored"
     assert label("a.js", "function n(q,g){return q.s(g)&&g>40}" * 40) == "minified" and label("a/package-lock.json", "{}") == "generated"
     assert label("d.py", "D = [\n" + "  [1.5, 2.25, 3.0, 4.0],\n" * 40 + "]\n") == "blob" and label("d.py", "D = [1, 2, 3, 4, 5]\nprint(D)\n") == "handwritten"
@@ -144,6 +144,46 @@ def test_directories_pass_belief(files):
     assert {r.blob_id for r in handwritten.found(raw).collect()} >= {f"g{k}" for k in range(6)} and handwritten.found(files([])).count() == 0
 
 
+def _tree(files_):
+    """Labels by enumeration of the labels of all directories, for one repository: files_ is [(blob, path, text)]."""
+    import itertools
+
+    leaves = {b: (handwritten.place(p)[0], handwritten.evidence(p, t, None, None)) for b, p, t in files_}
+    dirs = sorted({"/".join(d.split("/")[:k]) if k else "" for d, _ in leaves.values() for k in range(len(d.split("/")) + 1 if d else 1)})
+    total = {b: np.zeros(5) for b in leaves}
+    for labels in itertools.product(range(6), repeat=len(dirs)):
+        at = dict(zip(dirs, labels))
+        if any((k == 5) != handwritten.place(d + "/x" if d else "x")[1] for d, k in at.items()):
+            continue
+        w = handwritten.TOP[at[""]]
+        for d in dirs:
+            if d:
+                w *= handwritten.DIR_IN[at[d.rpartition("/")[0]]][at[d]]
+        each = {b: np.exp(f) * np.array(handwritten.FILE_IN[at[d]]) for b, (d, f) in leaves.items()}
+        for b in leaves:
+            total[b] += w * each[b] * np.prod([each[o].sum() for o in leaves if o != b])
+    return {b: (handwritten.LABELS[int(v.argmax())], v.max() / v.sum()) for b, v in total.items()}
+
+
+def test_two_sweeps_are_exact(files):
+    code, gen = "function f() {\n  return 1\n}\n", "// @generated by toolx\nlet a\n"
+    data = [("a", "src/a.js", code), ("b", "src/out/b.js", gen), ("c", "src/out/c.gen.js", code), ("d", "vendor/lib/d.js", code), ("e", "e.js", code), ("f", "vendor/LICENSE", "x"), ("g", "src/out/g.js", gen)]
+    got = {r.blob_id: (r.label, r.belief, r.alone) for r in handwritten.classify(files([(b, "r", p, t) for b, p, t in data])).collect()}
+    want = _tree(data)
+    assert {b: v[0] for b, v in got.items()} == {b: v[0] for b, v in want.items()}
+    for b, (_, p) in want.items():
+        assert got[b][1] == pytest.approx(p, rel=1e-6), b
+    # the tree decides: a third-party file and one with a hint in its name are hand-written by themselves
+    assert got["d"][::2] == ("vendored", "handwritten") and got["c"][::2] == ("generated", "handwritten") and got["f"][0] == got["a"][0] == got["e"][0] == "handwritten"
+
+
+def test_deep_paths_take_bounded_sweeps(files):
+    code = "let a = 1\n"
+    deep = "/".join(f"d{k}" for k in range(400))
+    raw = files([("a", "r", deep + "/a.js", code), ("b", "r", deep + "/node_modules/x/b.js", code), ("c", "r", "third_party/" + deep + "/c.js", code), ("d", "r", "d.js", code)])
+    assert {r.blob_id for r in handwritten.found(raw).collect()} == {"b", "c"}
+
+
 # --- problem 5
 
 
