@@ -46,6 +46,7 @@ _AT = r"(?:@|＠|%40|\s*[\[({<]\s*(?:at|AT|arroba|ät|chez|@)\s*[\])}>]\s*|\s+(?
 _DOT = r"(?:\.|\s*[\[({]\s*(?:dot|DOT|punkt|punto|point)\s*[\])}]\s*|\s+(?:dot|DOT|punkt|punto)\s+)"
 _EMAIL = re.compile(rf"(?<![\w.+@%/\-])(?P<user>\w[\w.+\-]*?)(?P<at>{_AT})(?P<host>\w[\w\-]*(?:{_DOT}\w[\w\-]*)+)")
 _AT_WORD = r"[\s\[({<](?:at|arroba|chez|ät)[\s\])}>]"
+_HAS_AT_WORD = re.compile(rf"(?i){_AT_WORD}")
 _EMAIL_WORDS = re.compile(r"(?<![\w.+@%/\-])(?P<user>\w[\w.+\-]*)(?P<at>\s+at\s+)(?P<host>\w[\w\-]*(?:\s+(?:dot|punkt|punto)\s+\w[\w\-]*)+)")
 _PHONE = re.compile(r"(?<![\w.+:#/\-])(?:\+|\()?\d(?:[\d ().\-/]|(?<=\d)\s(?=\(?\d)){5,22}\d(?:\s*(?:ext|x|Durchwahl|poste|wew|доб)\.?\s*\d{1,5})?(?![\w@]|[.\-:]\d)")
 _ID = re.compile(
@@ -81,11 +82,15 @@ _NAME = re.compile(
     rf")(?![\w@`(]|[.\-_/]\w)"
 )
 _LOWER_AFTER = r"\b(?:talk(?:ed|ing)? (?:to|with)|spoke (?:to|with)|spoken (?:to|with)|met with|ask(?:ed)?|ping(?:ed)?|emailed|reported by|written by|found by|cc|thanks to|assignee|author|reporter|maintainer|customer)\b"
+#: Parts of those words of which a line with one has at least one.
+_CUE_WORDS = ("talk", "spoke", "met with", "ask", "ping", "emailed", "ed by", "en by", "found by", "cc", "thanks to", "assignee", "author", "reporter", "maintainer", "customer")
 _LOWER_CUE = re.compile(rf"(?i){_LOWER_AFTER}[:=,\s\"]*")
 _LOWER = re.compile(rf"(?P<lower>{_WORD}\s{_WORD})(?![\w@`(]|[.\-_/]\w)")
 _CJK_AFTER = "さん|様|氏|先生|女士|小姐"
 _CJK_NAME = re.compile(rf"(?P<cjk>[一-鿿]{{2,4}}|[゠-ヿ・]{{4,12}})(?={_CJK_AFTER})")
 
+_TWO_WORDS = re.compile(r"[^\W\d_]\.?,?\s[^\W\d_]")
+
 _CUES = {
     "tel": re.compile(r"(?i)(?:\btel(?:efon[oe]?|éfono|éphone|efone)?\b|phone|\bcall\b|\bmobile\b|\bcell\b|\bfax\b|rufen sie|anrufen|\bnummer\b|my number|llam[ea]|appel|ligue|zadzwo|звон|тел|電話|电话|support line|hotline|whatsapp|sms)[^\n]{0,36}$"),
     "id": re.compile(
@@ -116,6 +121,9 @@ _COMMON = frozenset(
 )
 
 
+_DIGIT = re.compile(r"\d")
+
+
 def _shape(v: str) -> str:
     return re.sub(r"\d+", lambda m: str(len(m[0])), re.sub(r"[A-Z]+", "A", v))
 
@@ -129,7 +137,7 @@ def candidates(line: str, before: str) -> list[Span]:
     """Candidate segments of a line; before is the last line that isn't blank."""
     out: list[Span] = []
     bare = line.strip(" \t\r.,;*>-")
-    if "@" in line or "%40" in line or "＠" in line or re.search(rf"(?i){_AT_WORD}", line):
+    if "@" in line or "%40" in line or "＠" in line or _HAS_AT_WORD.search(line):
         for m in [*_EMAIL.finditer(line), *_EMAIL_WORDS.finditer(line)]:
             at, host, user = m["at"], m["host"], m["user"]
             left, right = line[max(0, m.start() - 40): m.start()], line[m.end(): m.end() + 40]
@@ -140,8 +148,9 @@ def candidates(line: str, before: str) -> list[Span]:
             f += ["scoped"] if re.search(r"@[\w\-]*/?$", left) else []
             f += ["remote"] if re.search(r"://$", left) else []
             out.append(Span(m.start(), m.end(), "email", tuple(f + _cues(left, right, ("mail", "git")))))
-    if any(c.isdigit() for c in line):
-        for m in _PHONE.finditer(line):
+    n_digits = len(_DIGIT.findall(line))
+    if n_digits:
+        for m in _PHONE.finditer(line) if n_digits >= 7 else ():
             v = m[0]
             digits = sum(c.isdigit() for c in re.sub(r"(?i)(?:ext|x|durchwahl|poste|wew|доб).*", "", v))
             if not 7 <= digits <= 16:
@@ -158,18 +167,18 @@ def candidates(line: str, before: str) -> list[Span]:
         for m in _ID.finditer(line):
             v = m[0]
             left, right = line[max(0, m.start() - 48): m.start()], line[m.end(): m.end() + 40]
-            if not any(c.isdigit() for c in v):
+            if not _DIGIT.search(v):
                 continue
             f = ["national_id", "shape:" + _shape(v)]
             cues = _cues(left, right, ("id", "tel", "numbers"))
             f += ["form:ssn"] if re.fullmatch(r"\d{3}[ \-]\d{2}[ \-]\d{4}", v) else []
             out.append(Span(m.start(), m.end(), "national_id", tuple(f + cues)))
-        for m in _ADDRESS.finditer(line):
+        for m in _ADDRESS.finditer(line) if "," in line else ():  # every form has a comma
             left, right = line[max(0, m.start() - 60): m.start()], line[m.end(): m.end() + 40]
             f = ["address", "post" if re.search(r"\d[\w\-]*\s*\D*$|[A-Z]{2} \d", m[0][8:]) else "place"]
             f += ["whole"] if m[0].strip() == bare else []
             out.append(Span(m.start(), m.end(), "address", tuple(f + _cues(left, right, ("ship", "product")))))
-    if re.search(r"[^\W\d_]\.?,?\s[^\W\d_]", line):
+    if _TWO_WORDS.search(line):
         for m in _NAME.finditer(line):
             if not all(w[0].isupper() for w in re.findall(r"[^\W\d_]{3,}", m[0]) if w not in ("von", "van", "del", "der")):
                 continue
@@ -179,11 +188,12 @@ def candidates(line: str, before: str) -> list[Span]:
                 if len(words) > 2:
                     out.append(_name(line, before, bare, m.start() + words[-2].start(), m.end(), "plain"))
                     out.append(_name(line, before, bare, m.start(), m.start() + words[1].end(), "plain"))
-        for c in _LOWER_CUE.finditer(line):
+        low = line.lower()
+        for c in _LOWER_CUE.finditer(line) if any([w in low for w in _CUE_WORDS]) else ():
             m = _LOWER.match(line, c.end())
             if m and m[0] == m[0].lower():
                 out.append(_name(line, before, bare, m.start(), m.end(), "lower"))
-        for m in _CJK_NAME.finditer(line):
+        for m in _CJK_NAME.finditer(line) if not line.isascii() else ():
             out.append(_name(line, before, bare, m.start(), m.end(), "cjk"))
     return out
 
@@ -232,34 +242,31 @@ class Model:
     def score(self, s: Span) -> float:
         return sum(self.w.get(f, 0.0) for f in features(s))
 
+    def step(self, label: str, kind: str) -> float:
+        """Score of a segment of a kind after one with that label."""
+        return self.w.get(f"next|{label}|{kind}", 0.0)
+
     def segment(self, line: str, before: str) -> list[Span]:
-        """The best segmentation by dynamic programming over segment ends (semi-Markov Viterbi)."""
+        """The best segmentation by dynamic programming over segment ends and labels (semi-Markov Viterbi)."""
         cand = candidates(line, before)
         if not cand:
             return []
-        cand.sort(key=lambda s: (s.end, s.start, s.kind))
-        ends = sorted({0, *(s.end for s in cand), *(s.start for s in cand)})
-        at = {e: k for k, e in enumerate(ends)}
-        best: list[dict[str, tuple[float, Span | None, tuple[int, str] | None]]] = [{} for _ in ends]
+        points, at, by_end = lattice(cand)
+        best: list[dict[str, tuple[float, Span | None, tuple[int, str] | None]]] = [{} for _ in points]
         best[0]["none"] = (0.0, None, None)
-        by_end = defaultdict(list)
-        for s in cand:
-            by_end[s.end].append((s, self.score(s)))
-        for k, e in enumerate(ends):
-            if k:
-                for label, (v, _, _) in best[k - 1].items():  # text between, label "none"
-                    if v > best[k].get("none", (-math.inf,))[0]:
-                        best[k]["none"] = (v, None, (k - 1, label))
-            for s, w in by_end.get(e, ()):
-                if w <= -20:
-                    continue
-                j = at[s.start]
+        for k in range(1, len(points)):
+            for label, (v, _, _) in best[k - 1].items():  # text between
+                to = carried(label, points[k] - points[k - 1])
+                if v > best[k].get(to, (-math.inf,))[0]:
+                    best[k][to] = (v, None, (k - 1, label))
+            for s in by_end.get(points[k], ()):
+                w, j = self.score(s), at[s.start]
                 for label, (v, _, _) in best[j].items():
-                    v += w + self.w.get(f"next|{label}|{s.kind}", 0.0)
+                    v += w + self.step(label, s.kind)
                     if v > best[k].get(s.kind, (-math.inf,))[0]:
                         best[k][s.kind] = (v, s, (j, label))
         label = max(best[-1], key=lambda x: (best[-1][x][0], x))
-        place: tuple[int, str] | None = (len(ends) - 1, label)
+        place: tuple[int, str] | None = (len(points) - 1, label)
         out = []
         while place:
             _, s, place_before = best[place[0]][place[1]]
@@ -269,18 +276,63 @@ class Model:
         return out[::-1]
 
 
-def _marginals(cand: list[Span], w: dict[str, float]) -> list[float]:
-    """Probability of each candidate segment under the field, by the forward-backward algorithm."""
-    score = [math.exp(min(30.0, sum(w.get(f, 0.0) for f in features(s)))) for s in cand]
-    points = sorted({0, 10**6, *(s.start for s in cand), *(s.end for s in cand)})
-    at = {p: k for k, p in enumerate(points)}
-    fwd, bwd = [0.0] * len(points), [0.0] * len(points)
-    fwd[0] = bwd[-1] = 1.0
+#: Characters of text over which a segment still speaks for the next one ("Name <mailbox>").
+GAP = 4
+
+
+def carried(label: str, gap: int) -> str:
+    """The label after a stretch of text."""
+    return label if gap <= GAP else "none"
+
+
+def lattice(cand: list[Span]) -> tuple[list[int], dict[int, int], dict[int, list[Span]]]:
+    """Places where segments begin and end, their numbers, and the segments by their end."""
+    points = sorted({0, *(s.start for s in cand), *(s.end for s in cand)})
+    by_end: dict[int, list[Span]] = defaultdict(list)
+    for s in sorted(cand, key=lambda s: (s.end, s.start, s.kind)):
+        by_end[s.end].append(s)
+    return points, {p: k for k, p in enumerate(points)}, by_end
+
+
+def steps(segments: list[Span]) -> list[tuple[str, str]]:
+    """(label before, kind) of each segment of a segmentation, in order."""
+    out, label, end = [], "none", 0
+    for s in segments:
+        out.append((carried(label, s.start - end), s.kind))
+        label, end = s.kind, s.end
+    return out
+
+
+def _expected(cand: list[Span], feats: list[list[str]], w: dict[str, float]) -> tuple[list[float], dict[str, float]]:
+    """Probability of each candidate and expected number of each step under the field, by the forward-backward algorithm over places and labels."""
+    e = {id(s): math.exp(max(-30.0, min(30.0, sum([w[f] for f in fs if f in w])))) for s, fs in zip(cand, feats)}
+    t = lambda label, kind: math.exp(w[f]) if (f := f"next|{label}|{kind}") in w else 1.0
+    points, at, by_end = lattice(cand)
+    fwd: list[dict[str, float]] = [defaultdict(float) for _ in points]
+    fwd[0]["none"] = 1.0
     for k in range(1, len(points)):
-        fwd[k] = fwd[k - 1] + sum(fwd[at[s.start]] * e for s, e in zip(cand, score) if s.end == points[k])
+        for label, v in fwd[k - 1].items():
+            fwd[k][carried(label, points[k] - points[k - 1])] += v
+        for s in by_end.get(points[k], ()):
+            fwd[k][s.kind] += e[id(s)] * sum(v * t(label, s.kind) for label, v in fwd[at[s.start]].items())
+    total = sum(fwd[-1].values())
+    bwd: list[dict[str, float]] = [{} for _ in points]
+    bwd[-1] = dict.fromkeys(fwd[-1], 1.0)
+    by_start: dict[int, list[Span]] = defaultdict(list)
+    for s in cand:
+        by_start[s.start].append(s)
+    each, moves = {id(s): 0.0 for s in cand}, defaultdict(float)
     for k in range(len(points) - 2, -1, -1):
-        bwd[k] = bwd[k + 1] + sum(bwd[at[s.end]] * e for s, e in zip(cand, score) if s.start == points[k])
-    return [fwd[at[s.start]] * e * bwd[at[s.end]] / fwd[-1] for s, e in zip(cand, score)]
+        for label, v in fwd[k].items():
+            b = bwd[k + 1].get(carried(label, points[k + 1] - points[k]), 0.0)
+            for s in by_start.get(points[k], ()):
+                go = e[id(s)] * t(label, s.kind) * bwd[at[s.end]].get(s.kind, 0.0)
+                b += go
+                p = v * go / total
+                each[id(s)] += p
+                moves[f"next|{label}|{s.kind}"] += p
+            bwd[k][label] = b
+    return [each[id(s)] for s in cand], moves
 
 
 # --- training lines -----------------------------------------------------------------------
@@ -290,16 +342,17 @@ _FAMILY = "Berger Castillo Dubois Eriksen Fontana Gruber Hansen Ivanov Jansen Ko
 _CODE = "loader parser cacheKey flushAll merge_rows scanTable readBuffer openPipe".split()
 _THINGS = "Silver Falcon|Granite Peak|Blue Heron|Rapid River|Iron Gate|Quiet Harbor|Copper Field".split("|")
 _TEMPLATES = (
-    "Signed-off-by: {name} <{email}>|Co-authored by {name} ({email})|Assignee {name} / {email}|author = \"{name}\"|Thanks to {name} who bisected this.|Thanks to {name} for the report.|As {name} wrote in the review, this is fine.|"
-    "talked to {lname} about it|spoke with {lname} yesterday|cc {turned}|cc {TURNED}|Reported by {titled}|Reported by {titled}.|The customer, {initial}, sees an error.|{name}|{name}|From {name} on the list|"
-    "Contact: {email}|Contact: mailto:{email}|reach me at {email} please|{email} gets it twice.|{{\"reporter\": \"{email}\", \"level\": 2}}|log: user={email} action=x|please write to {email}|<{email}> fails|"
-    "Tel: {phone}|tel. {phone} (mornings)|Call me on {phone} if needed.|My number is {phone}, any time.|phone={phone};lang=en|Rufen Sie an: {phone}|the support line shows {phone}|"
-    "{id} was printed into the log|The form rejects {id} as malformed.|row 4 of the import: {id};active|Test record shows {id} in clear text|"
-    "{addr}|address: {addr}|Ship it to {addr} please|Invoice says {addr} instead of the office.|The geocoder fails for {addr} and returns null.|"
-    "The {thing} release does not have it.|see line {n3}, {thing} theme, tile 4|{thing} is slow today|in {thing} the cache grows|{heading}|## {heading}|**Bug** {heading}|Traceback: a.b line {n3}, in {code}|cc @{code}|decorated with @{code}.{code2}|"
-    "clone with git@forge.sample.example:a/{code}.git|ssh://git@forge.sample.example/a|installed @scope/{code}@{n1}.{n2}.{n1}|order no. {n6}-{n2}, lot {n9}|version {n2}.{n1}.{n3}.{n4}|Seen with build {date}.{n4} on both machines.|{n10} bytes read, {n10} written|"
-    "took {n2}.{n3} s at {day} 11:22:33|listens on 10.{n3}.{n2}.{n3}:{n5}|uuid {n4}a{n3}-9d|commit {n4}ab{n5}c broke it|ticket {n9}|serial {n10}|serial A{n8}|isbn {n10}|Since version {n1}.{n2}.{n1} the option takes {n3} values.|"
-    "The scheduler keeps {code} open|cc everyone here|thanks to the patch it works|asked for more logs|pinged the team again|talked to support about it|talked to the vendor about it|it failed when {code} was called at load.average|look at {code}.txt at build.log|we wait for {code} at startup.sh"
+    "Signed-off-by: {name} <{email}>|Co-authored-by: {name} <{email}>|Reviewed by {name} ({email})|owner: {name} / {email}|written_by = \"{name}\"|Kudos to {name}, who tracked it down.|thank you {name} for looking into it|{name} wrote earlier that the retry is safe|"
+    "{name} <{email}>|{name}, {email}, {phone}|our client {name} can confirm|as {name} said on the call, we wait|I asked {name} and {name2} about the branch|mail from {name} last week|the user {name} has two accounts|"
+    "spoke to {lname} this morning|met with {lname} in person|please ping {lname} for access|assignee: {lname}|cc {lname}|cc: {turned}|copied {TURNED} on this|{TURNED} asked for a backport|Found by {titled}|{titled} will call back.|{initial} can reproduce it|the patient {initial} was moved|{name}|{name}|{titled}|"
+    "write to {email} for the logs|my address is {email}, thanks|<{email}>|mailto:{email}|two messages reached {email}|{{\"user\": \"{email}\", \"tries\": 3}}|from={email} status=bounced|Kontakt: {email}|send it over to {email}|the account {email} is locked|"
+    "phone {phone}|Telefon: {phone}|you can reach us under {phone} until noon|mobile={phone}|ring {phone} before lunch|Fax {phone}|hotline {phone}, ask for the night shift|new number: {phone}|WhatsApp {phone}|tel {phone}|"
+    "{id} stays visible in the dump|we should mask {id}|user typed {id} into the wrong box|import column 7 = {id};ok|{id}|validation of {id} returns false|masking misses {id}, see below|"
+    "{addr}|deliver to {addr}|home address {addr}|parcel went to {addr} again|our office moved: {addr}|lives at {addr} since May|the map puts {addr} in the sea|postal address: {addr}.|"
+    "we ship {thing} on Monday|the {thing} module leaks|upgrade to {thing} {n1}.{n2}|{thing} cluster is down|page {n2} of {thing}|{heading}|### {heading}|**{heading}**|File \"{code}.py\", line {n3}, in {code2}|ask @{code} instead|use @{code}.{code2} here|"
+    "git clone git@host.sample.example:x/{code}.git|remote is ssh://git@host.sample.example/x|npm install @org/{code}@{n1}.{n2}.{n1}|pip install {code}=={n1}.{n2}|order {n6}-{n2} of lot {n9}|v{n2}.{n1}.{n3}.{n4} works|nightly {date}.{n4} crashes|read {n10} bytes|offset {n10}, length {n8}|"
+    "started {day} 09:14:55, {n2}.{n3} ms|bound to 10.{n3}.{n2}.{n3}:{n5}|trace {n4}b{n3}-7e|reverted in {n4}cd{n5}f|invoice no {n9}|sku {n10}|serial B{n8}|isbn {n10}|before {n1}.{n2}.{n1} it accepted {n3} rows|pid {n5} got signal {n1}|timestamp {n10}|"
+    "locks held by {code} are never freed|cc the whole list|asked for a second opinion|pinged support twice|spoke to the auditors|met with nobody|talked to our hosting company|it dies in {code} at host.domain|see notes.txt at mirror.site|reading {code} at boot.cfg|{thing}, {n2} rows|Line {n3}: {heading}"
 ).split("|")
 
 
@@ -307,6 +360,7 @@ def _sample(rng: random.Random, template: str) -> tuple[str, list[tuple[str, str
     """A line and its (kind, text) cases."""
     digits = lambda n: "".join(str(rng.randint(1 if k == 0 else 0, 9)) for k in range(n))
     given, family = rng.choice(_GIVEN), rng.choice(_FAMILY)
+    other = f"{rng.choice(_GIVEN)} {rng.choice(_FAMILY)}"
     user = rng.choice((f"{given}.{family}", f"{given}_{family}{rng.randint(1, 99)}", f"{given}{rng.randint(1, 99)}", f"{given[0]}{family}", f"{family}+tag")).lower()
     at = rng.choices(("@", " (at) ", " [at] ", " AT ", "%40"), (6, 1, 1, 2, 1))[0]
     host = rng.choice(("mail.sample.example", "sample.test", "corp.sample.invalid", "kv-sample.example"))
@@ -319,7 +373,7 @@ def _sample(rng: random.Random, template: str) -> tuple[str, list[tuple[str, str
         ("NIR ", f"1{digits(12)} {digits(2)}"), ("numéro de sécurité sociale ", f"2{digits(12)} {digits(2)}"), ("Steuer-ID ", f"{digits(2)} {digits(3)} {digits(3)} {digits(3)}"), ("tax id ", digits(9)),
     ))
     fill = {
-        "name": f"{given} {family}", "lname": f"{given} {family}".lower(), "turned": f"{family}, {given}", "TURNED": f"{family.upper()}, {given}", "titled": f"{rng.choice(('Dr.', 'Prof.', 'Ms.', 'Mr.', 'Frau', 'Herr'))} {family}",
+        "name": f"{given} {family}", "name2": other, "lname": f"{given} {family}".lower(), "turned": f"{family}, {given}", "TURNED": f"{family.upper()}, {given}", "titled": f"{rng.choice(('Dr.', 'Prof.', 'Ms.', 'Mr.', 'Frau', 'Herr'))} {family}",
         "initial": f"{given[0]}. {family}", "email": f"{user}{at}{host}",
         "phone": rng.choice((f"+1 (555) 01{digits(1)}-{digits(4)}", f"+44 7700 {digits(6)}", f"+49 30 {digits(5)} {digits(3)}", f"+33.1.99.00.{digits(2)}.{digits(2)}", f"+1555010{digits(4)}", f"(555) 01{digits(1)}-{digits(4)}", f"555-01{digits(2)}", f"0{digits(4)} {digits(3)} {digits(3)}", f"020 {digits(4)} {digits(4)}", f"0049 30/{digits(5)}-{digits(3)}", f"+34 600 000 {digits(3)}", f"01 99 00 {digits(2)} {digits(2)}", f"1-555-010-{digits(4)} ext. {digits(2)}")),
         "id": says + number,
@@ -328,19 +382,19 @@ def _sample(rng: random.Random, template: str) -> tuple[str, list[tuple[str, str
         "date": f"2024{rng.randint(10, 12)}{rng.randint(10, 28)}", "day": f"2024-0{rng.randint(1, 9)}-{rng.randint(10, 28)}",
     }
     fill |= {f"n{k}": digits(k) for k in range(1, 11)}
-    kinds = {"name": "name", "lname": "name", "turned": "name", "TURNED": "name", "titled": "name", "initial": "name", "email": "email", "phone": "phone", "addr": "address"}
+    kinds = {"name": "name", "name2": "name", "lname": "name", "turned": "name", "TURNED": "name", "titled": "name", "initial": "name", "email": "email", "phone": "phone", "addr": "address"}
     cases = [(kinds[k], fill[k]) for k in re.findall(r"(?<!\{)\{(\w+)\}", template) if k in kinds]
     line = template.format(**fill)
     if "{id}" in template:
         cases.append(("national_id", number))
     if rng.random() < 0.1:
-        line = f"{line} Please look at it."
+        line = f"{line} More below."
     return line, cases
 
 
 @cache
-def train(n_lines: int = 1400, epochs: int = 30, seed: int = 11) -> tuple[tuple[str, float], ...]:
-    """Weights after gradient ascent on the log-likelihood of n_lines lines of the grammar."""
+def train(n_lines: int = 1400, epochs: int = 20, seed: int = 11) -> tuple[tuple[str, float], ...]:
+    """Weights of segments and of steps between them, after gradient ascent on the log-likelihood of n_lines lines of the grammar."""
     rng = random.Random(seed)
     data = []
     for k in range(n_lines):
@@ -348,18 +402,30 @@ def train(n_lines: int = 1400, epochs: int = 30, seed: int = 11) -> tuple[tuple[
         cand = candidates(line, "Best regards," if rng.random() < 0.5 else "text")
         gold = {(k, line.find(t), line.find(t) + len(t)) for k, t in cases}
         if cand:
-            data.append((cand, [(s.kind, s.start, s.end) in gold for s in cand], [features(s) for s in cand]))
-    w: dict[str, float] = defaultdict(float, {t: -1.0 for t in TYPES})
-    square: dict[str, float] = defaultdict(lambda: 1.0)
+            is_gold = [(s.kind, s.start, s.end) in gold for s in cand]
+            moves = [f"next|{a}|{b}" for a, b in steps(sorted((s for s, g in zip(cand, is_gold) if g), key=lambda s: s.start))]
+            data.append((cand, is_gold, [features(s) for s in cand], moves))
+    w: dict[str, float] = {t: -1.0 for t in TYPES}
+    square: dict[str, float] = {}
+
+    def climb(f: str, d: float) -> None:
+        square[f] = q = square.get(f, 1.0) + d * d
+        v = w.get(f, 0.0)
+        w[f] = v + 0.7 * (d - 0.0005 * v) / math.sqrt(q)
+
     for _ in range(epochs):
         rng.shuffle(data)
-        for cand, gold, feats in data:
-            for p, g, fs in zip(_marginals(cand, w), gold, feats):
+        for cand, gold, feats, moves in data:
+            each, expected = _expected(cand, feats, w)
+            for p, g, fs in zip(each, gold, feats):
                 d = g - p
                 if abs(d) > 1e-4:
                     for f in fs:
-                        square[f] += d * d
-                        w[f] += 0.7 * (d - 0.0005 * w[f]) / math.sqrt(square[f])
+                        climb(f, d)
+            for f in {*moves, *expected}:
+                d = moves.count(f) - expected.get(f, 0.0)
+                if abs(d) > 1e-4:
+                    climb(f, d)
     return tuple(sorted((k, round(v, 4)) for k, v in w.items()))
 
 

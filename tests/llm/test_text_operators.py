@@ -286,6 +286,7 @@ def test_viterbi_is_the_best_segmentation(model):
     """Against all sets of segments that don't overlap."""
     import itertools
 
+    value = lambda s: sum(model.score(x) for x in s) + sum(model.step(*m) for m in pii.steps(s))
     for line in ("Assignee Ana Lima / ana@x.example cc Bo Berg", "Tel: 020 7946 0601 or 970-87-5108", "As Ana Lima wrote, Dr. Berg agreed with Bo Berg"):
         cand = pii.candidates(line, "")
         best = 0.0
@@ -293,8 +294,32 @@ def test_viterbi_is_the_best_segmentation(model):
             for some in itertools.combinations(cand, n):
                 s = sorted(some)
                 if all(a.end <= b.start for a, b in zip(s, s[1:])):
-                    best = max(best, sum(model.score(x) for x in s))
-        assert sum(model.score(s) for s in model.segment(line, "")) == pytest.approx(best)
+                    best = max(best, value(s))
+        assert value(model.segment(line, "")) == pytest.approx(best)
+
+
+def test_expectations_are_those_of_all_segmentations(model):
+    """Probabilities of segments and steps against enumeration, and weights of steps that training moved."""
+    import itertools
+    import math
+
+    cand = pii.candidates("Ana Lima <ana@x.example>, Tel: 020 7946 0601", "")
+    feats = [pii.features(s) for s in cand]
+    total, each, moves = 0.0, [0.0] * len(cand), {}
+    for n in range(len(cand) + 1):
+        for some in itertools.combinations(range(len(cand)), n):
+            s = sorted((cand[k] for k in some), key=lambda s: s.start)
+            if all(a.end <= b.start for a, b in zip(s, s[1:])):
+                v = math.exp(sum(model.score(x) for x in s) + sum(model.step(*m) for m in pii.steps(s)))
+                total += v
+                for k in some:
+                    each[k] += v
+                for a, b in pii.steps(s):
+                    moves[f"next|{a}|{b}"] = moves.get(f"next|{a}|{b}", 0.0) + v
+    got, expected = pii._expected(cand, feats, model.w)
+    assert got == pytest.approx([v / total for v in each]) and dict(expected) == pytest.approx({k: v / total for k, v in moves.items()})
+    trained = {k: v for k, v in model.w.items() if k.startswith("next|")}
+    assert len(trained) > 5 and model.step("name", "email") > model.step("none", "name") - 5 and any(abs(v) > 0.2 for v in trained.values())
 
 
 def test_issues_table(rows):
