@@ -19,26 +19,21 @@ def normalize(raw: DataFrame, config_hash: str = "", version: str = VERSION, col
     and created_at. Null contents aren't records; other nulls get the schema's defaults.
     """
     df = conform(raw, RAW).where(F.length("content") > 0)
-    sha = text.sha256(F.col("content"))
-    df = df.withColumn("content_sha256", sha)
-    df = df.withColumn("id", text.record_id(F.col("repo_name"), F.col("path"), F.col("content_sha256")))
+    # what is known of the content is computed where it is read, so that queries without it don't shuffle it
+    df = df.withColumns({"content_sha256": text.sha256(F.col("content")), "size_bytes": F.octet_length("content").cast("bigint"), "token_count": text.token_estimate(F.col("content"))})
+    df = df.withColumns({
+        "id": text.record_id(F.col("repo_name"), F.col("path"), F.col("content_sha256")), "source_datasets": F.array_compact(F.array("source_dataset")),
+        "pipeline_version": F.lit(version), "config_hash": F.lit(config_hash)})
     if collapse:
         first = W.partitionBy("source_shard", "id").orderBy(F.col("source_record_id").asc_nulls_last(), F.col("created_at").asc_nulls_last())
         df = df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    df = (
-        df.withColumn("size_bytes", F.octet_length("content").cast("bigint"))
-        .withColumn("token_count", text.token_estimate(F.col("content")))
-        .withColumn("source_datasets", F.array_compact(F.array("source_dataset")))
-        .withColumn("pipeline_version", F.lit(version))
-        .withColumn("config_hash", F.lit(config_hash))
-    )
     return conform(df, RECORD)
 
 
 def provenance(records: DataFrame) -> StageResult:
-    """Records that can be traced; empty licenses go, and a repository "owner/name" gets its address."""
+    """Records that can be traced (those of no bytes have no content); empty licenses go, and a repository "owner/name" gets its address."""
     reason = (
-        F.when((F.coalesce(F.length("content"), F.lit(0)) == 0) | F.col("content_sha256").isNull(), "no_content")
+        F.when((F.coalesce("size_bytes", F.lit(0)) == 0) | F.col("content_sha256").isNull(), "no_content")
         .when((F.coalesce("source_dataset", F.lit("")) == "") | (F.coalesce("source_shard", F.lit("")) == ""), "no_provenance")
         .when((F.col("record_type") == "code") & (F.coalesce("repo_name", F.lit("")) == ""), "code_without_repo")
     )

@@ -12,9 +12,16 @@ def described(records: DataFrame) -> DataFrame:
     """Records with language, layer, technologies, dependencies, imports, stem and cli, without contents."""
     head = F.substring("content", 1, 4000)
     df = records.withColumn("language", code.language(F.col("path"), F.col("language")))
-    return df.withColumn("layer", code.layer(F.col("path"), F.col("language"), head)).withColumn("technologies", code.technologies(F.col("path"), head)).withColumn(
-        "n_deps", code.dependencies(F.col("path"), F.col("content"))).withColumn("imports", code.import_text(F.col("content"))).withColumn(
-        "stem", F.lower(text.stem(F.col("path")))).withColumn("cli", F.coalesce(head.rlike(code.CLI), F.lit(False)))
+    return df.withColumns({
+        "layer": code.layer(F.col("path"), F.col("language"), head), "technologies": code.technologies(F.col("path"), head), "n_deps": code.dependencies(F.col("path"), F.col("content")),
+        "imports": code.import_text(F.col("content")), "stem": F.lower(text.stem(F.col("path"))), "cli": F.coalesce(head.rlike(code.CLI), F.lit(False))})
+
+
+def redescribed(records: DataFrame, changed: Column) -> DataFrame:
+    """Described records whose content was changed since get language, layer and technologies anew; the others keep theirs."""
+    head = F.substring("content", 1, 4000)
+    again = {"layer": code.layer(F.col("path"), F.col("language"), head), "technologies": code.technologies(F.col("path"), head)}
+    return records.withColumns({c: F.when(changed, new).otherwise(F.col(c)) for c, new in again.items()})
 
 
 def _histogram(df: DataFrame, keys: list[str], column: str) -> DataFrame:

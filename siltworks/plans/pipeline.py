@@ -54,21 +54,23 @@ def run(raw: DataFrame, cfg: Mapping[str, Any], shards: DataFrame | None = None,
     df = take(provenance(normalize(raw, config.config_hash(cfg))))
     if cfg["dedup"]["exact"]["enabled"]:
         df = take(exact_dedup(df, shards, index))
-    df = df.checkpoint()  # what the rounds, the repositories and the filters start from
+    df = repos.described(df.withColumn("_declared", F.col("language"))).checkpoint()  # what the rounds, the repositories and the filters start from; patterns of technologies run once
     near, signed = cfg["dedup"]["near"], None
     if near["enabled"]:
         # signatures made with other settings can't be compared
         known = None if near_index is None else near_index.where((F.col("shingle_size") == near["shingle_size"]) & (F.octet_length("sig") == 4 * near["num_perm"]))
         r = near_dedup(df, near["mode"], num_perm=near["num_perm"], threshold=near["jaccard_threshold"], shingle=near["shingle_size"], min_tokens=near["min_tokens"], exempt=tuple(near["exempt_record_types"]), known=known)
         df, signed = take(r), r.index.withColumn("shingle_size", F.lit(near["shingle_size"]))
-    own = repos.changes(repos.described(df).drop("content").checkpoint())
+    own = repos.changes(df.drop("content").checkpoint())
     own = own.select(*[F.col(f.name).cast(f.dataType) for f in CHANGES]).checkpoint()
     every = own if changes is None else own.unionByName(changes.join(own.select("repo_name").distinct(), "repo_name", "left_semi"))
     table = repos.scored(every, every)
+    # filters look at the declared language
+    df = df.withColumns({"_language": F.col("language"), "language": F.col("_declared")}).drop("_declared", "imports", "stem", "cli", "n_deps")
     # one pass over contents marks what each filter drops; rows are told apart once, afterwards
     for step, part in ((filters.mark_license, "licenses"), (filters.mark_secrets, "secrets"), (filters.mark_quality, "quality"), (filters.mark_trivial, "complexity")):
         df = step(df, cfg[part])
-    df = repos.described(df).drop("imports", "stem", "cli", "n_deps").checkpoint()
+    df = repos.redescribed(df.withColumn("language", F.col("_language")).drop("_language"), F.col("secrets_redacted") + F.col("pii_redacted") > 0).checkpoint()
     df = take(finish(df))
     df = repos.stamped(df, repos.stamps(table))
     return Result(conform(df, RECORD), conform(union(gone), EXCLUDED), repos.export(table), signed, own)
