@@ -2,7 +2,8 @@
 
 Two signatures of 128 numbers differ in d positions; d is a metric, and d <= RADIUS makes a
 near duplicate. Whole signatures of unrelated records are all about equally far from any
-pivot (nearly 128), so that pivots of the whole space prune nothing. The space is therefore
+pivot (nearly 128), so that pivots of the whole space prune nothing: of 19 million pairs of
+incoming and accepted signatures, 64 pivots left 99.87 %. The space is therefore
 cut into RADIUS + 1 blocks of three positions: a pair within RADIUS agrees on at least one
 whole block, that is, its distance there is 0. In each block the table stores the distance
 (a weighted city-block metric) to a fixed pivot; by the triangle inequality, records whose
@@ -205,10 +206,12 @@ class PivotIndex:
         rows = _incoming(records)
         classes = rows.where("sid is not null").groupBy("sid").agg(F.first("sig").alias("sig"))
         table = pivot_table(classes)
-        old = self._read("classes", batch).groupBy("sid").agg(F.first("sig").alias("sig"))
-        every = old.select("sid", "sig").unionByName(classes).groupBy("sid").agg(F.first("sig").alias("sig"))
-        pivots = self._read("pivots", batch).select("sid", "key").unionByName(table).distinct()
-        pairs = near(table, pivots, every).checkpoint()
+        # history is scanned, but neither grouped nor sorted as a whole: of its distances only those that meet one of the
+        # batch go on, of its signatures only those of candidates
+        keys = table.select("key").distinct()
+        pivots = self._read("pivots", batch).select("sid", "key").join(keys, "key", "left_semi").unionByName(table)
+        every = self._read("classes", batch).select("sid", "sig").unionByName(classes)
+        pairs = near(table, pivots, every).distinct().checkpoint()
         key = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
         rows = rows.dropDuplicates(["ord", "sha", "sid"]).checkpoint()
         mine = rows.where("sid is not null").select("id", "ord", "sid")
