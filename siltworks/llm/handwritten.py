@@ -174,30 +174,21 @@ def _leaves():
     return fn
 
 
-def _message(logs: Column, matrix: tuple[tuple[float, ...], ...], n: int) -> Column:
-    """Logs of the n sums that a vector of logs has with the rows of a matrix: plain arithmetic, so that it is compiled and common parts are evaluated once."""
-    x = [logs[j] for j in range(len(matrix[0]))]
-    top = F.greatest(*x)
-    mass = [F.exp(v - top) for v in x]
-    return F.array(*[F.log(reduce(lambda a, b: a + b, [F.lit(matrix[k][j]) * mass[j] for j in range(len(x))])) for k in range(n)])
+def _message(df: DataFrame, logs: str, matrix: tuple[tuple[float, ...], ...], out: str) -> DataFrame:
+    """df with a column of the logs of the sums that a vector of logs has with the rows of a matrix.
+
+    Plain arithmetic in steps, so that it is compiled, and plans stay small.
+    """
+    x = [F.col(logs)[j] for j in range(len(matrix[0]))]
+    df = df.withColumn("_top", F.greatest(*x)).withColumns({f"_m{j}": F.exp(v - F.col("_top")) for j, v in enumerate(x)})
+    sums = [reduce(lambda a, b: a + b, [F.lit(w) * F.col(f"_m{j}") for j, w in enumerate(row)]) for row in matrix]
+    return df.withColumn(out, F.array(*map(F.log, sums))).drop("_top", *[f"_m{j}" for j in range(len(x))])
 
 
 def _turned(matrix: tuple[tuple[float, ...], ...]) -> tuple[tuple[float, ...], ...]:
     return tuple(zip(*matrix))
 
 
-def _down_to_file(logs: Column) -> Column:
-    return _message(logs, _turned(FILE_IN), len(LABELS))
-
-
-def _up_from_dir(logs: Column) -> Column:
-    return _message(logs, DIR_IN, len(PLACES))
-
-
-def _down_to_dir(logs: Column) -> Column:
-    return _message(logs, _turned(DIR_IN), len(PLACES))
-
-
 def _plus(a: Column, b: Column, sign: int = 1, n: int = len(PLACES)) -> Column:
     return F.array(*[a[k] + sign * b[k] for k in range(n)])
 
@@ -237,13 +228,13 @@ def classify(raw: DataFrame) -> DataFrame:
     )
     depth = dirs.agg(F.max("depth")).first()[0] or 0  # at most LEVELS + 1
     # Upward: a directory hears from its files and its subdirectories.
-    level = dirs.where(F.col("depth") == depth).withColumn("up", F.col("own")).withColumn("sent", _up_from_dir(F.col("up")))
+    level = _message(dirs.where(F.col("depth") == depth).withColumn("up", F.col("own")), "up", DIR_IN, "sent")
     levels = [level]
     for d in range(depth - 1, -1, -1):
         got = level.groupBy("repo", F.col("parent").alias("node")).agg(_summed("sent").alias("below"))
         level = dirs.where(F.col("depth") == d).join(got, ["repo", "node"], "left")
         level = level.withColumn("up", _plus(F.col("own"), F.coalesce("below", flat))).drop("below")
-        level = level.withColumn("sent", _up_from_dir(F.col("up"))).checkpoint()
+        level = _message(level, "up", DIR_IN, "sent").checkpoint()
         levels.append(level)
     # Downward: a directory hears from its parent, without what it said itself.
     belief = levels[-1].select("repo", "node", F.col("up").alias("belief"))
@@ -251,14 +242,16 @@ def classify(raw: DataFrame) -> DataFrame:
     for level in reversed(levels[:-1]):
         above = belief.select("repo", F.col("node").alias("parent"), F.col("belief").alias("above"))
         belief = level.join(above, ["repo", "parent"]).withColumn("rest", _plus(F.col("above"), F.col("sent"), -1))
-        belief = belief.select("repo", "node", _plus(F.col("up"), _down_to_dir(F.col("rest"))).alias("belief")).checkpoint()
+        belief = _message(belief, "rest", _turned(DIR_IN), "heard")
+        belief = belief.select("repo", "node", _plus(F.col("up"), F.col("heard")).alias("belief")).checkpoint()
         parts.append(belief)
     beliefs = parts[0]
     for p in parts[1:]:
         beliefs = beliefs.unionByName(p)
     files = leaf.join(beliefs.withColumnRenamed("node", "dir"), ["repo", "dir"])
     files = files.withColumn("rest", _plus(F.col("belief"), F.col("sent"), -1))
-    files = files.select("blob_id", "repo", "log_factor", _plus(F.col("log_factor"), _down_to_file(F.col("rest")), n=len(LABELS)).alias("final"))
+    files = _message(files, "rest", _turned(FILE_IN), "heard")
+    files = files.select("blob_id", "repo", "log_factor", _plus(F.col("log_factor"), F.col("heard"), n=len(LABELS)).alias("final"))
     best = lambda c: F.element_at(F.array(*map(F.lit, LABELS)), F.array_position(c, F.array_max(c)).cast("int"))
     norm = reduce(lambda a, b: a + b, [F.exp(F.col("final")[k] - F.array_max("final")) for k in range(len(LABELS))])
     return files.select("blob_id", "repo", best("final").alias("label"), (F.lit(1.0) / norm).alias("belief"), best("log_factor").alias("alone"))
