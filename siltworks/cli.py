@@ -49,9 +49,9 @@ def main(argv: list[str] | None = None) -> int:
             print(s.shard_id, len(s.files), s.size)
         return 0
     from siltworks.plans.pipeline import Store
-    from siltworks.session import local_session
+    from siltworks.session import session
 
-    store = Store(local_session(), folder, cfg)
+    store = Store(session(), folder, cfg)
     failed = os.path.join(folder, "_failed.json")
     bad = json.load(open(failed)) if os.path.exists(failed) else {}
     if a.verb == "status":

@@ -24,6 +24,14 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
     )
 
 
+def session() -> SparkSession:
+    """The active session, or that of spark-submit with whatever master it names; a local one only where neither is there."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    return SparkSession.builder.appName("siltworks").getOrCreate() if "PYSPARK_GATEWAY_PORT" in os.environ else local_session()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where none is set (tests on one machine)."""
     sc = spark.sparkContext
