@@ -73,6 +73,11 @@ def p7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.by_shard(spread(table(spark, sf_dir, "raw_content")), table(spark, sf_dir, "shards"))
 
 
+def p7_shard_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that p7_shards counts in each shard, and what the shard reported."""
+    return p7_shards(spark, sf_dir).select("shard_id", "source_dataset", "n_texts", "reported")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltworks.llm import tokens
 
@@ -112,11 +117,14 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_redacted, p6_found, p7_slices, p7_budget, p7_shards, p8_ids, p9_mixture, p9_shares, p9_limited_shares, p9_tempered_shares, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_redacted, p6_found, p7_slices, p7_budget, p7_shards, p7_shard_texts, p8_ids, p9_mixture, p9_shares, p9_limited_shares, p9_tempered_shares, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say the same; the others are tested against plain versions."""
     return {
+        "p7_shard_texts": """WITH files AS (SELECT min(source_shard) AS source_shard FROM raw_content WHERE blob_id IS NOT NULL GROUP BY blob_id UNION ALL SELECT source_shard FROM raw_content WHERE blob_id IS NULL),
+n AS (SELECT source_shard, count(*) AS n FROM files WHERE source_shard IS NOT NULL GROUP BY 1)
+SELECT shard_id, source_dataset, coalesce(n, 0) AS n_texts, CASE WHEN token_count > 0 THEN token_count END AS reported FROM shards LEFT JOIN n ON shard_id = source_shard""",
         "p5_redacted": "SELECT blob_id, count(*) AS n, max(length(content)) AS n_chars, max(length(content) - length(replace(content, chr(10), ''))) AS n_line_ends FROM raw_content WHERE content IS NOT NULL GROUP BY 1",
     }
